@@ -68,33 +68,36 @@ def product_seq_time(prior: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS,
     return ranked.unionByName(hot_ranked)
 
 
-def prd_features(prior: DataFrame) -> DataFrame:
+def prd_features(prior: DataFrame, within: list[str] | None = None) -> DataFrame:
     """Per product: lines, reorders, and lines that are a first or second purchase.
 
     A line is a first purchase when no line of the pair has a lower order
     number, and a second one when exactly one line has. So the two lowest order
     numbers of a pair and their line counts decide, and counting per order
     number before the window keeps both shuffles free of hot groups: the window
-    passes on at most two rows per pair from every task.
+    passes on at most two rows per pair from every task. ``within`` names
+    columns that follow from the user; the counts are then kept apart by them.
     """
-    lines = prior.groupBy("product_id").agg(
+    group = [*(within or []), "product_id"]
+    pair = [*(within or []), *PAIR]
+    lines = prior.groupBy(*group).agg(
         F.count(F.lit(1)).alias("prod_orders"),
         F.sum("reordered").alias("prod_reorders"),
     )
-    per_order = prior.groupBy(*PAIR, "order_number").agg(F.count(F.lit(1)).alias("n"))
-    nth = F.row_number().over(Window.partitionBy(*PAIR).orderBy("order_number"))
+    per_order = prior.groupBy(*pair, "order_number").agg(F.count(F.lit(1)).alias("n"))
+    nth = F.row_number().over(Window.partitionBy(*pair).orderBy("order_number"))
     lowest = per_order.withColumn("nth", nth).where(F.col("nth") <= 2)
-    pairs = lowest.groupBy(*PAIR).agg(
+    pairs = lowest.groupBy(*pair).agg(
         F.sum(F.when(F.col("nth") == 1, F.col("n"))).alias("first"),
         F.sum(F.when(F.col("nth") == 2, F.col("n"))).alias("second"),
     )
     second = F.when(F.col("first") == 1, F.coalesce("second", F.lit(0))).otherwise(0)
-    sequence = pairs.groupBy(F.col("product_id").alias("_product")).agg(
+    sequence = pairs.groupBy(*[F.col(c).alias(f"_{c}") for c in group]).agg(
         F.sum("first").alias("prod_first_orders"),
         F.sum(second).alias("prod_second_orders"),
     )
-    joined = lines.join(sequence, F.col("product_id").eqNullSafe(F.col("_product")))
-    return joined.drop("_product")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]
+    return lines.join(sequence, same).drop(*[f"_{c}" for c in group])
 
 
 def features_join(up: DataFrame, prd: DataFrame, uf1: DataFrame, uf2: DataFrame) -> DataFrame:

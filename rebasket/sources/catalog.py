@@ -28,15 +28,18 @@ def discover(spark: SparkSession, root: str, suffix: str = "parquet") -> dict[st
     return {e.removesuffix(f".{suffix}"): f"{root.rstrip('/')}/{e}" for e in sorted(entries)}
 
 
-def register(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet",
+def read_all(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet",
              **options: str) -> dict[str, DataFrame]:
-    """Read each path with its own or an inferred schema and name it as a view."""
+    """Read each path; Parquet brings its schema, for CSV it is inferred."""
     if fmt == "csv":
         options = {"header": "true", "inferSchema": "true", **options}
-    tables = {name: spark.read.format(fmt).options(**options).load(path) for name, path in paths.items()}
+    return {name: spark.read.format(fmt).options(**options).load(path) for name, path in paths.items()}
+
+
+def register(tables: dict[str, DataFrame]) -> None:
+    """Name the tables as views for SQL."""
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-    return tables
 
 
 def profile(tables: dict[str, DataFrame]) -> DataFrame:
