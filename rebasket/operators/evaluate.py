@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rebasket.operators.running import running_totals
+from rebasket.session import stored
 
 # Ranges the distinct scores are cut into.
 SCORE_BLOCKS = 256
@@ -18,7 +19,8 @@ SCORE_BLOCKS = 256
 def score_steps(rows: DataFrame, score: str, label: str, blocks: int = SCORE_BLOCKS) -> DataFrame:
     """One row per distinct score: positives and negatives there, below, in total.
 
-    Rows without a score or label cannot be judged and are left out.
+    Rows without a score or label cannot be judged and are left out. The counts
+    per score are stored, since the cut points and both totals read them.
     """
     judged = rows.select(F.col(score).cast("double").alias("score"), F.col(label).alias("_label"))
     judged = judged.where(F.col("score").isNotNull() & F.col("_label").isNotNull())
@@ -26,10 +28,12 @@ def score_steps(rows: DataFrame, score: str, label: str, blocks: int = SCORE_BLO
         F.count_if(F.col("_label") == 1).alias("pos"),
         F.count_if(F.col("_label") != 1).alias("neg"),
     )
+    per_score = stored(per_score, "score-counts")
     cuts = [i / blocks for i in range(1, blocks)]
     bounds = per_score.agg(F.percentile_approx("score", cuts)).scalar()
-    block = F.size(F.filter(bounds, lambda bound: bound < F.col("score")))
-    return running_totals(per_score, [], block, ["score"], ["pos", "neg"])
+    block = F.size(F.filter("_bounds", lambda bound: bound < F.col("score")))
+    steps = per_score.withColumn("_bounds", bounds)
+    return running_totals(steps, [], block, ["score"], ["pos", "neg"]).drop("_bounds")
 
 
 def roc_auc(rows: DataFrame, score: str, label: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -14,7 +13,7 @@ from rebasket.functions.ratios import FEATURES
 from rebasket.operators import evaluate, features, labels, model, prior, submission, tuning
 from rebasket.plans.matrix import feature_matrix, joined_features, labelled_matrix
 from rebasket.plans.retail import Shop, prior_with_repeats, shop
-from rebasket.session import shared_dir
+from rebasket.session import fresh_path, stored
 from rebasket.sources import catalog, files
 from rebasket.sources.schemas import ORDERS
 from rebasket.streaming import refresh, requests
@@ -29,11 +28,6 @@ SHORT_FIT = {"nrounds": 5, "max_depth": 4, "eta": 0.1, "gamma": 0.7, "subsample"
              "min_child_weight": 10}
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared one."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _train(s: Shop) -> DataFrame:
     return labels.split_train_test(labelled_matrix(s))[0]
 
@@ -54,7 +48,7 @@ def profile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders to gzip CSV, then through the converter."""
-    base = _fresh(spark, "csv")
+    base = fresh_path(spark, "csv")
     shop(spark, sf_dir).orders.write.csv(f"{base}/raw", header=True, compression="gzip")
     table = files.csv_to_parquet(spark, f"{base}/raw", ORDERS, f"{base}/orders", ["eval_set"])
     return table.select("order_id", "user_id", "eval_set", "order_number", "days_since_prior_order")
@@ -63,7 +57,7 @@ def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined features to CSV with header and back."""
     rows = joined_features(shop(spark, sf_dir))
-    path = _fresh(spark, "features-join")
+    path = fresh_path(spark, "features-join")
     files.export_csv(rows, path)
     schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
     return files.read_csv(spark, path, schema)
@@ -71,14 +65,14 @@ def export_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The train rows as headerless CSV, label first, and back by position."""
-    path = _fresh(spark, "train-csv")
+    path = fresh_path(spark, "train-csv")
     files.export_training_csv(_train(shop(spark, sf_dir)), path)
     schema = "reordered int, " + ", ".join(f"{c} double" for c in FEATURES)
     return files.read_csv(spark, path, schema, header=False)
 
 
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.write_feature_store(feature_matrix(shop(spark, sf_dir)), _fresh(spark, "store"))
+    return files.write_feature_store(feature_matrix(shop(spark, sf_dir)), fresh_path(spark, "store"))
 
 
 def feature_store_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +118,7 @@ def _shrunk(k: int):
 
 def tuning_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shrinkage grid with the AUC of each row, best first."""
-    train = _train(shop(spark, sf_dir))
+    train = stored(_train(shop(spark, sf_dir)), "train")
     grid = spark.createDataFrame([(i, k) for i, k in enumerate(SHRINKAGE)], "row int, k int")
     metrics = [
         evaluate.roc_auc(train.withColumn("prob", _shrunk(k)), "prob", labels.LABEL).select(
@@ -143,7 +137,7 @@ def tuning_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fit_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit on the train rows with early stopping, score the test rows, decide."""
-    rows = labelled_matrix(shop(spark, sf_dir)).checkpoint()
+    rows = stored(labelled_matrix(shop(spark, sf_dir)), "labelled")
     train, test = labels.split_train_test(rows)
     kept, held = labels.holdout(train)
     fitted = model.fit(kept, SHORT_FIT, validation=held)
@@ -151,13 +145,13 @@ def fit_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = _train(shop(spark, sf_dir)).checkpoint()
+    train = stored(_train(shop(spark, sf_dir)), "train")
     shared = {**tuning.GRID_SHARED, "nrounds": 3, "max_depth": 3}
     return tuning.tune_grid(train, shared=shared)[1]
 
 
 def tune_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept, held = labels.holdout(_train(shop(spark, sf_dir)).checkpoint())
+    kept, held = labels.holdout(stored(_train(shop(spark, sf_dir)), "train"))
     ranges = {**tuning.RANGES, "max_depth": (3, 5)}
     return tuning.tune_random(kept, held, ranges=ranges, shared={"nrounds": 3})[1]
 
@@ -189,7 +183,7 @@ def _unpacked(found: DataFrame) -> DataFrame:
 def request_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lookups, the requests arriving as text files."""
     s = shop(spark, sf_dir)
-    base = _fresh(spark, "requests")
+    base = fresh_path(spark, "requests")
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
     request_bodies(s).repartition(3).write.text(f"{base}/landing")
     arriving = requests.request_stream(spark, f"{base}/landing", files_per_batch=1)
@@ -201,8 +195,8 @@ def request_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, store the features, answer the requests as a stream."""
     s = shop(spark, sf_dir)
-    base = _fresh(spark, "answers")
-    rows = labelled_matrix(s).checkpoint()
+    base = fresh_path(spark, "answers")
+    rows = stored(labelled_matrix(s), "labelled")
     fitted = model.fit(labels.split_train_test(rows)[0], SHORT_FIT)
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
     request_bodies(s).repartition(3).write.text(f"{base}/landing")
@@ -215,7 +209,7 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refresh_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All order lines landed in pieces, one micro-batch each; the joined features."""
     s = shop(spark, sf_dir)
-    base = _fresh(spark, "refresh")
+    base = fresh_path(spark, "refresh")
     landed = prior.orders_with_lines(s.orders, s.order_products, eval_set=None)
     landed.repartition(3).write.parquet(f"{base}/landing")
     refresh.refresh_on_arrival(

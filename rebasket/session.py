@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -37,3 +38,19 @@ def shared_dir(spark: SparkSession) -> str:
     own = tempfile.mkdtemp(prefix="rebasket-")
     spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext.getCheckpointDir()
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write the rows to the shared folder and read them back.
+
+    For tables that several later jobs read: they are computed once, a lost
+    executor does not bring the computation back, and the scans prune columns.
+    """
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
