@@ -22,15 +22,19 @@ def candidate_orders(orders: DataFrame) -> DataFrame:
 
 
 def labelled(features: DataFrame, candidates: DataFrame, lines: DataFrame) -> DataFrame:
-    """Feature rows with their candidate order and label.
+    """Feature rows with their candidate order and label."""
+    return with_labels(features.join(candidates, "user_id"), lines)
+
+
+def with_labels(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows that know their candidate order, with the label.
 
     Train rows without a matching line get 0, test rows stay NULL. Repeated
     lines of a pair are merged first, so the join never adds rows.
     """
     labels = lines.groupBy(*PAIR).agg(F.max(LABEL).alias(LABEL))
     filled = F.when(F.col("eval_set") == "train", F.coalesce(LABEL, F.lit(0))).otherwise(F.col(LABEL))
-    joined = features.join(candidates, "user_id").join(labels, PAIR, "left")
-    return joined.withColumn(LABEL, filled.cast("int"))
+    return rows.join(labels, PAIR, "left").withColumn(LABEL, filled.cast("int"))
 
 
 def split_train_test(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -46,12 +46,19 @@ def running_totals(
     ).drop("_block", *[f"_{w}_{s}" for w in weights for s in ("earlier", "inside")])
 
 
+# No more than this many keys are ever treated as hot, however many rows there are.
+MOST_HOT_KEYS = 100_000
+
+
 def split_hot(rows: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, DataFrame]:
     """Rows whose key has at most ``limit`` rows, and the rows of larger keys.
 
-    There are fewer than (rows / limit) larger keys, so their list is bounded
-    and safe to broadcast: at the default limits of this package that is some
-    16 bytes per million rows. Rows with a NULL key stay on the first side.
+    On large inputs the limit grows to rows / MOST_HOT_KEYS. Fewer than
+    MOST_HOT_KEYS keys can exceed that, so the list of hot keys has a fixed
+    bound and is broadcast. Rows with a NULL key stay on the first side.
     """
-    hot = F.broadcast(rows.groupBy(*keys).count().where(F.col("count") > limit).select(*keys))
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    limit_now = F.greatest(F.lit(float(limit)), total / F.lit(MOST_HOT_KEYS))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = F.broadcast(counts.where(F.col("_rows") > limit_now).select(*keys))
     return rows.join(hot, keys, "left_anti"), rows.join(hot, keys, "left_semi")

@@ -21,12 +21,11 @@ def decide(scored: DataFrame, score: str = "prob", threshold: float = SUBMISSION
 def submission(decided: DataFrame) -> DataFrame:
     """Per order its chosen products in number order, or 'None'; sorted by order.
 
-    Distinct (order, product) decisions come first, so repeated rows collapse
-    before the list is built and a list is never longer than the catalogue.
+    The set of an order is never larger than the catalogue, and repeated rows
+    collapse in the partial aggregate before the shuffle.
     """
     chosen = F.when(F.col("decision") == 1, F.col("product_id"))
-    unique = decided.select("order_id", chosen.alias("product_id")).distinct()
-    listed = F.array_join(F.sort_array(F.collect_list("product_id")), " ")
-    orders = unique.groupBy("order_id").agg(listed.alias("products"))
+    listed = F.array_join(F.sort_array(F.collect_set(chosen)), " ")
+    orders = decided.groupBy("order_id").agg(listed.alias("products"))
     products = F.when(F.col("products") == "", "None").otherwise(F.col("products"))
     return orders.withColumn("products", products).orderBy("order_id")

@@ -12,7 +12,7 @@ from rebasket.operators.features import (
     user_features_1,
     user_features_2,
 )
-from rebasket.operators.labels import candidate_orders, labelled, train_lines
+from rebasket.operators.labels import candidate_orders, train_lines, with_labels
 from rebasket.plans.retail import Shop
 
 
@@ -29,6 +29,13 @@ def feature_matrix(s: Shop) -> DataFrame:
 
 
 def labelled_matrix(s: Shop) -> DataFrame:
-    """The matrix with candidate order and label."""
-    lines = train_lines(s.order_products_train, s.orders)
-    return labelled(feature_matrix(s), candidate_orders(s.orders), lines)
+    """The matrix with candidate order and label.
+
+    The candidate order belongs to the user, so it joins the user table before
+    the pair rows do: these meet the users once, in a join of its own stage that
+    adaptive execution can split at a hot user.
+    """
+    prior = s.order_products_prior
+    users = user_features_1(s.orders).join(candidate_orders(s.orders), "user_id")
+    joined = features_join(up_features(prior), prd_features(prior), users, user_features_2(prior))
+    return with_labels(derive_features(joined), train_lines(s.order_products_train, s.orders))

@@ -72,7 +72,8 @@ def export_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.write_feature_store(feature_matrix(shop(spark, sf_dir)), fresh_path(spark, "store"))
+    path = fresh_path(spark, "store")
+    return files.write_feature_store(feature_matrix(shop(spark, sf_dir)), path).drop("user_bucket")
 
 
 def feature_store_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,9 +188,8 @@ def request_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
     request_bodies(s).repartition(3).write.text(f"{base}/landing")
     arriving = requests.request_stream(spark, f"{base}/landing", files_per_batch=1)
-    query = requests.run_to_parquet(requests.lookup(arriving, store), f"{base}/out", f"{base}/state")
-    query.awaitTermination()
-    return _unpacked(spark.read.parquet(f"{base}/out"))
+    requests.lookup_stream(arriving, store, f"{base}/out", f"{base}/state").awaitTermination()
+    return _unpacked(spark.read.parquet(f"{base}/out").drop("batch_id"))
 
 
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,9 +201,8 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
     request_bodies(s).repartition(3).write.text(f"{base}/landing")
     arriving = requests.request_stream(spark, f"{base}/landing", files_per_batch=1)
-    answers = requests.score_requests(arriving, store, fitted)
-    requests.run_to_parquet(answers, f"{base}/out", f"{base}/state").awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    requests.score_stream(arriving, store, fitted, f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 def refresh_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from rebasket.operators.prior import order_products_prior
 from rebasket.operators.running import running_totals
 from rebasket.session import shared_dir
 from rebasket.sources.files import write_prior
+from rebasket.sources.schemas import ORDER_LINES, ORDER_PRODUCTS, ORDERS, PRODUCTS
 
 
 @dataclass(frozen=True)
@@ -109,6 +110,12 @@ def prior_with_repeats(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     return order_products_prior(orders, lines)
 
 
+STORED = {
+    "products": PRODUCTS,
+    "orders": ORDERS,
+    "order_products": ORDER_PRODUCTS,
+    "order_products_prior": ORDER_LINES,
+}
 _written: set[str] = set()
 
 
@@ -122,7 +129,7 @@ def shop(spark: SparkSession, sf_dir: str) -> Shop:
     base = f"{shared_dir(spark)}/shop-{spark.sparkContext.applicationId}-{digest}"
 
     def stored(name: str) -> DataFrame:
-        return spark.read.parquet(f"{base}/{name}")
+        return spark.read.schema(STORED[name]).parquet(f"{base}/{name}")
 
     if base not in _written:
         def raw(name: str) -> DataFrame:

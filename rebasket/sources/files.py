@@ -6,11 +6,15 @@ one file; readers take the folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rebasket.functions.packing import pack
 from rebasket.functions.ratios import FEATURES
 
+STORE_BUCKETS = 64
+STORE = "user_id bigint, product_id bigint, feature string, user_bucket int"
+
 
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
     """Plain or gzip CSV under a fixed schema; a malformed row fails the job."""
@@ -21,12 +25,14 @@ def csv_to_parquet(spark: SparkSession, path: str, schema: str, out: str,
                    partition_by: list[str] | None = None) -> DataFrame:
     """Convert CSV to Parquet and return the written table.
 
-    A gzip file cannot be split, so the rows are spread over all tasks right
-    after the scan.
+    A gzip file cannot be split, so its rows are spread over the tasks right
+    after the scan. The rebalance also gathers each partition value into files
+    of the advisory size and splits a large value over several tasks.
     """
-    rows = read_csv(spark, path, schema).hint("rebalance")
-    rows.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(out)
-    return spark.read.parquet(out)
+    by = partition_by or []
+    rows = read_csv(spark, path, schema).hint("rebalance", *by)
+    rows.write.mode("overwrite").partitionBy(*by).parquet(out)
+    return spark.read.schema(schema).parquet(out)
 
 
 def write_prior(prior: DataFrame, out: str) -> DataFrame:
@@ -39,7 +45,7 @@ def write_prior(prior: DataFrame, out: str) -> DataFrame:
     """
     key = ["user_id", "product_id", "order_number", "order_id", "add_to_cart_order"]
     prior.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").parquet(out)
-    return prior.sparkSession.read.parquet(out)
+    return prior.sparkSession.read.schema(prior.schema).parquet(out)
 
 
 def export_csv(rows: DataFrame, path: str, mode: str = "errorifexists", header: bool = True) -> None:
@@ -59,12 +65,20 @@ def feature_store(rows: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     return rows.select("user_id", "product_id", pack(features).alias("feature"))
 
 
-def write_feature_store(rows: DataFrame, path: str, features: list[str] = FEATURES) -> DataFrame:
-    """Sorted by key within range partitions, so a key lookup skips most row groups."""
-    store = feature_store(rows, features)
-    store.repartitionByRange("user_id", "product_id").sortWithinPartitions(
-        "user_id", "product_id").write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.parquet(path)
+def store_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+
+
+def write_feature_store(rows: DataFrame, path: str, features: list[str] = FEATURES,
+                        buckets: int = STORE_BUCKETS) -> DataFrame:
+    """Store by user bucket: a lookup reads only the buckets its users fall in."""
+    store = feature_store(rows, features).withColumn("user_bucket", store_bucket(buckets))
+    store.hint("rebalance", "user_bucket").write.mode("overwrite").partitionBy("user_bucket").parquet(path)
+    return read_feature_store(rows.sparkSession, path)
+
+
+def read_feature_store(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORE).parquet(path)
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:

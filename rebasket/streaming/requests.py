@@ -1,55 +1,74 @@
-"""Score 'user_id,product_id' requests against the feature store.
+"""Answer 'user_id,product_id' requests from the feature store.
 
-The same function serves a batch of requests and a stream: the lookup is a
-left join with a stored table, which needs no state.
+Only the distinct keys of the requests are looked up and scored; a key asked
+for very often is one row until its answer joins the requests again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rebasket.functions.decisions import PAGE_THRESHOLD, above, verdict
+from rebasket.functions.keys import PAIR
 from rebasket.functions.packing import request_key, unpack
 from rebasket.functions.ratios import FEATURES
 from rebasket.operators.model import probability
+from rebasket.sources.files import STORE_BUCKETS, store_bucket
 from rebasket.sources.schemas import REQUESTS
 
 
+def with_keys(requests: DataFrame) -> DataFrame:
+    """Requests with the two keys of their body; a key that cannot be read is NULL."""
+    return requests.select("body", request_key("body", 0).alias("user_id"),
+                           request_key("body", 1).alias("product_id"))
+
+
+def wanted_keys(keyed: DataFrame) -> DataFrame:
+    return keyed.select(*PAIR).where(F.col("user_id").isNotNull() & F.col("product_id").isNotNull()).distinct()
+
+
+def _answer(keyed: DataFrame, found: DataFrame) -> DataFrame:
+    """Every request with its found columns and a status."""
+    rows = keyed.join(found.withColumn("_found", F.lit(True)), PAIR, "left")
+    unreadable = F.col("user_id").isNull() | F.col("product_id").isNull()
+    status = F.when(unreadable, "bad_request").when(F.col("_found"), "ok").otherwise("unknown_key")
+    return rows.withColumn("status", status).drop("_found")
+
+
 def lookup(requests: DataFrame, store: DataFrame) -> DataFrame:
-    """Requests with their packed features; every request keeps its row."""
-    keyed = requests.withColumns({
-        "user_id": request_key("body", 0),
-        "product_id": request_key("body", 1),
-    })
-    found = keyed.join(store.select("user_id", "product_id", "feature"), ["user_id", "product_id"], "left")
-    readable = F.col("user_id").isNotNull() & F.col("product_id").isNotNull()
-    status = (
-        F.when(~readable, "bad_request")
-        .when(F.col("feature").isNull(), "unknown_key")
-        .otherwise("ok")
-    )
-    return found.withColumn("status", status).select("body", "user_id", "product_id", "feature", "status")
+    """Requests with their packed features."""
+    keyed = with_keys(requests)
+    found = store.join(wanted_keys(keyed), PAIR).select(*PAIR, "feature")
+    return _answer(keyed, found)
 
 
-def score_requests(requests: DataFrame, store: DataFrame, model: PipelineModel,
-                   threshold: float = PAGE_THRESHOLD) -> DataFrame:
-    """Probability, 0/1 decision and answer text per request.
+def score_found(found: DataFrame, model: PipelineModel) -> DataFrame:
+    """Probability per looked-up key."""
+    return probability(model.transform(found.withColumns(unpack("feature", FEATURES)))).select(*PAIR, "prob")
 
-    A request without features has no probability; the imputer must not make one up.
-    """
-    rows = lookup(requests, store).withColumns(unpack("feature", FEATURES))
-    scored = probability(model.transform(rows))
-    scored = scored.withColumn("prob", F.when(F.col("status") == "ok", F.col("prob")))
-    return scored.select(
-        "body", "user_id", "product_id", "status", "prob",
+
+def _decided(answered: DataFrame, threshold: float) -> DataFrame:
+    return answered.select(
+        "body", *PAIR, "status", "prob",
         above("prob", threshold).alias("decision"),
         F.when(F.col("status") == "ok", verdict("prob", threshold)).alias("verdict"),
     )
 
 
+def score_requests(requests: DataFrame, store: DataFrame, model: PipelineModel,
+                   threshold: float = PAGE_THRESHOLD) -> DataFrame:
+    """Probability, 0/1 decision and answer text per request; a request whose
+    key is not in the store has no probability."""
+    keyed = with_keys(requests)
+    found = store.join(wanted_keys(keyed), PAIR)
+    return _decided(_answer(keyed, score_found(found, model)), threshold)
+
+
 def score_vectors(requests: DataFrame, model: PipelineModel,
                   threshold: float = PAGE_THRESHOLD) -> DataFrame:
     """Requests whose body is the packed vector itself."""
@@ -61,18 +80,54 @@ def score_vectors(requests: DataFrame, model: PipelineModel,
 
 def request_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
     """Text files of request lines as a stream."""
-    reader = spark.readStream.schema(REQUESTS)
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(landing)
+    return reader.schema(REQUESTS).text(landing)
+
+
+def _stream(requests: DataFrame, store: DataFrame, out: str, checkpoint: str,
+            finish: Callable[[DataFrame, DataFrame], DataFrame], buckets: int,
+            interval: str | None) -> StreamingQuery:
+    """Per micro-batch: store the wanted keys, read their buckets of the feature
+    store, write the answers of the batch in place of any earlier attempt.
 
+    The stored keys have a known size, so the planner broadcasts them when they
+    are small and the feature store is filtered where it is read.
+    """
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        keyed = with_keys(batch)
+        path = f"{checkpoint}/wanted"
+        marked = wanted_keys(keyed).withColumn("user_bucket", store_bucket(buckets))
+        marked.write.mode("overwrite").parquet(path)
+        wanted = batch.sparkSession.read.schema(f"{PAIR[0]} bigint, {PAIR[1]} bigint, user_bucket int").parquet(path)
+        # At most one small number per bucket comes to the driver.
+        touched = [r.user_bucket for r in wanted.select("user_bucket").distinct().collect()]
+        near = store.where(F.col("user_bucket").isin(touched))
+        found = near.join(wanted.select(*PAIR), PAIR).select(*PAIR, "feature")
+        finish(keyed, found).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-def run_to_parquet(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Process all landed requests and stop; the file sink writes each batch once."""
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        rows.writeStream.format("parquet")
-        .option("path", out)
+        requests.writeStream.foreachBatch(answer)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
+
+
+def lookup_stream(requests: DataFrame, store: DataFrame, out: str, checkpoint: str,
+                  buckets: int = STORE_BUCKETS, interval: str | None = None) -> StreamingQuery:
+    """Answer a request stream with packed features; stops when all landed
+    requests are done, or runs on at an interval."""
+    return _stream(requests, store, out, checkpoint, _answer, buckets, interval)
+
+
+def score_stream(requests: DataFrame, store: DataFrame, model: PipelineModel, out: str, checkpoint: str,
+                 threshold: float = PAGE_THRESHOLD, buckets: int = STORE_BUCKETS,
+                 interval: str | None = None) -> StreamingQuery:
+    """Answer a request stream with probability, decision and text."""
+    def finish(keyed: DataFrame, found: DataFrame) -> DataFrame:
+        return _decided(_answer(keyed, score_found(found, model)), threshold)
+
+    return _stream(requests, store, out, checkpoint, finish, buckets, interval)
