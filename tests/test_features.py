@@ -1,0 +1,134 @@
+import pytest
+from helpers import LINE_SCHEMA, ORDER_SCHEMA, prior_of, rows, same
+from pyspark.sql import functions as F
+
+from rebasket.functions.ratios import CONSUMED
+from rebasket.operators.features import (
+    derive_features,
+    features_join,
+    prd_features,
+    product_seq_time,
+    up_features,
+    user_features_1,
+    user_features_2,
+)
+from rebasket.operators.prior import order_products_prior, orders_with_lines, preview
+
+
+def test_order_without_lines_stays_in_left_join_only(spark):
+    orders = spark.createDataFrame([(10, 1, "prior", 1, None), (11, 1, "prior", 2, 3.0)], ORDER_SCHEMA)
+    lines = spark.createDataFrame([(11, 5, 1, 0)], LINE_SCHEMA)
+    left = orders_with_lines(orders, lines)
+    assert left.columns.count("order_id") == 1
+    assert rows(left, "order_id", "product_id") == [(10, None), (11, 5)]
+    assert rows(order_products_prior(orders, lines), "order_id", "product_id") == [(11, 5)]
+
+
+def test_preview_is_the_first_rows_in_key_order(small):
+    lines = orders_with_lines(small.orders, small.order_products)
+    every = sorted(rows(lines, "order_id", "product_id"), key=lambda r: (r[0], r[1] or -1))
+    assert rows(preview(lines, ["order_id", "product_id"], 20), "order_id", "product_id") == sorted(
+        every[:20], key=repr)
+
+
+def test_ties_share_a_rank_and_the_next_one_skips(spark):
+    prior = prior_of(spark, [(1, 5, 1), (1, 5, 1), (1, 5, 2)])
+    assert rows(product_seq_time(prior), "product_seq_time") == [(1,), (1,), (3,)]
+    assert rows(prd_features(prior), "prod_first_orders", "prod_second_orders") == [(2, 0)]
+
+
+@pytest.mark.parametrize("lines, first, second", [
+    ([(1, 5, 1), (1, 5, 2), (1, 5, 2)], 1, 2),
+    ([(1, 5, 3)], 1, 0),
+    ([(1, 5, 1), (1, 5, 2), (1, 5, 3), (2, 5, 9), (2, 5, 9)], 3, 1),
+    ([(None, 5, 1), (None, 5, 2), (1, 5, 1)], 2, 1),
+])
+def test_first_and_second_purchases(spark, lines, first, second):
+    found = rows(prd_features(prior_of(spark, lines)), "prod_first_orders", "prod_second_orders")
+    assert found == [(first, second)]
+
+
+def test_hot_pairs_get_the_same_ranks(spark):
+    lines = [(1, 5, n) for n in (1, 1, 2, 4, 4, 4, 9, 17, 17, 30)] + [(2, 5, 1), (2, 6, 1), (None, 5, 2)]
+    prior = prior_of(spark, lines)
+    plain = rows(product_seq_time(prior), "order_id", "product_seq_time")
+    for block in (1, 3, 1000):
+        hot = product_seq_time(prior, hot_pair_rows=1, orders_per_block=block)
+        assert rows(hot, "order_id", "product_seq_time") == plain
+
+
+def test_ratio_is_null_without_later_orders(spark):
+    prior = prior_of(spark, [(2, 5, 1, 0), (2, 6, 1, 0), (3, 5, 1, 0), (3, 5, 2, 1), (3, 6, 2, 0)])
+    assert rows(user_features_2(prior), "user_id", "user_total_products", "user_distinct_products",
+                "user_reorder_ratio") == [(2, 2, 2, None), (3, 3, 2, 0.5)]
+
+
+def test_golden_vector(spark):
+    known = {
+        "up_orders": 1, "user_orders": 57, "user_total_products": 514, "up_first_order": 11,
+        "up_last_order": 11, "prod_orders": 1599, "prod_reorders": 358, "prod_first_orders": 1241,
+        "prod_second_orders": 186,
+    }
+    expected = {
+        "prod_reorder_probability": 0.1498791297340854,
+        "prod_reorder_times": 1.2884770346494763,
+        "prod_reorder_ratio": 0.22388993120700437,
+        "user_average_basket": 9.017543859649123,
+        "up_order_rate": 0.017543859649122806,
+        "up_orders_since_last_order": 46,
+        "up_order_rate_since_first_order": 0.02127659574468085,
+    }
+    frame = spark.createDataFrame([tuple(known.values())], list(known))
+    row = derive_features(frame).first().asDict()
+    assert {k: row[k] for k in expected} == expected
+    assert not set(CONSUMED) & set(row)
+
+
+def test_zero_denominators_give_null(spark):
+    names = ["up_orders", "user_orders", "user_total_products", "up_first_order", "up_last_order",
+             "prod_orders", "prod_reorders", "prod_first_orders", "prod_second_orders"]
+    frame = spark.createDataFrame([(1, 0, 1, 1, 1, 0, 0, 0, 0)], names)
+    row = derive_features(frame).first()
+    assert row.prod_reorder_probability is None and row.prod_reorder_times is None
+    assert row.prod_reorder_ratio is None and row.up_order_rate is None
+    assert row.up_order_rate_since_first_order is None
+
+
+def test_join_order_does_not_matter(small):
+    """Users first, with renamed and dropped keys, gives the rows of the direct joins."""
+    prior = small.order_products_prior
+    up, prd = up_features(prior), prd_features(prior)
+    uf1, uf2 = user_features_1(small.orders), user_features_2(prior)
+    renamed = uf1.withColumnRenamed("user_id", "user_id1")
+    users = renamed.join(uf2, F.col("user_id1") == F.col("user_id")).drop("user_id1")
+    users = users.withColumnRenamed("user_id", "user_id1")
+    products = prd.withColumnRenamed("product_id", "product_id1")
+    other = up.join(users, F.col("user_id") == F.col("user_id1")).drop("user_id1")
+    other = other.join(products, F.col("product_id") == F.col("product_id1")).drop("product_id1")
+    same(features_join(up, prd, uf1, uf2), other)
+    direct = up.join(prd, "product_id").join(uf1, "user_id").join(uf2, "user_id")
+    same(features_join(up, prd, uf1, uf2), direct)
+
+
+def test_counts_add_up(small):
+    prior = small.order_products_prior
+    pairs = up_features(prior).count()
+    products = prd_features(prior)
+    total = products.agg(F.sum("prod_first_orders"), F.sum("prod_orders")).first()
+    assert total[0] == pairs
+    assert total[1] == prior.count()
+    assert products.where("prod_first_orders <> prod_orders - prod_reorders").count() == 0
+
+
+def test_users_without_prior_lines_leave_the_join(small):
+    prior = small.order_products_prior
+    assert user_features_1(small.orders).count() == 1500
+    assert user_features_2(prior).count() == 1498
+    assert user_features_2(prior).where("user_reorder_ratio is null").count() == 4
+
+
+def test_open_orders_count_as_user_orders(small):
+    prior = small.order_products_prior
+    joined = features_join(up_features(prior), prd_features(prior), user_features_1(small.orders),
+                           user_features_2(prior))
+    assert derive_features(joined).where("up_orders_since_last_order < 1").count() == 0
