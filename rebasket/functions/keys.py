@@ -16,3 +16,8 @@ def hash_bucket(keys: list[str], buckets: int = 100, seed: int | None = None) ->
         parts = [F.lit(str(seed)), *parts]
     digest = F.substring(F.md5(F.concat_ws("-", *parts)), 1, 8)
     return F.conv(digest, 16, 10).cast("bigint") % F.lit(buckets)
+
+
+def user_bucket(buckets: int) -> Column:
+    """Bucket of a user for tables stored by user; the same for every integer type."""
+    return F.pmod(F.xxhash64(F.col("user_id").cast("bigint")), F.lit(buckets)).cast("int")

@@ -6,9 +6,9 @@ one file; readers take the folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from rebasket.functions.keys import user_bucket
 from rebasket.functions.packing import pack
 from rebasket.functions.ratios import FEATURES
 
@@ -65,14 +65,10 @@ def feature_store(rows: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     return rows.select("user_id", "product_id", pack(features).alias("feature"))
 
 
-def store_bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
-
-
 def write_feature_store(rows: DataFrame, path: str, features: list[str] = FEATURES,
                         buckets: int = STORE_BUCKETS) -> DataFrame:
     """Store by user bucket: a lookup reads only the buckets its users fall in."""
-    store = feature_store(rows, features).withColumn("user_bucket", store_bucket(buckets))
+    store = feature_store(rows, features).withColumn("user_bucket", user_bucket(buckets))
     store.hint("rebalance", "user_bucket").write.mode("overwrite").partitionBy("user_bucket").parquet(path)
     return read_feature_store(rows.sparkSession, path)
 

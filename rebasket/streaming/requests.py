@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rebasket.functions.decisions import PAGE_THRESHOLD, above, verdict
-from rebasket.functions.keys import PAIR
+from rebasket.functions.keys import PAIR, user_bucket
 from rebasket.functions.packing import request_key, unpack
 from rebasket.functions.ratios import FEATURES
 from rebasket.operators.model import probability
-from rebasket.sources.files import STORE_BUCKETS, store_bucket
+from rebasket.sources.files import STORE_BUCKETS
 from rebasket.sources.schemas import REQUESTS
 
 
@@ -98,7 +98,7 @@ def _stream(requests: DataFrame, store: DataFrame, out: str, checkpoint: str,
     def answer(batch: DataFrame, batch_id: int) -> None:
         keyed = with_keys(batch)
         path = f"{checkpoint}/wanted"
-        marked = wanted_keys(keyed).withColumn("user_bucket", store_bucket(buckets))
+        marked = wanted_keys(keyed).withColumn("user_bucket", user_bucket(buckets))
         marked.write.mode("overwrite").parquet(path)
         wanted = batch.sparkSession.read.schema(f"{PAIR[0]} bigint, {PAIR[1]} bigint, user_bucket int").parquet(path)
         # At most one small number per bucket comes to the driver.

@@ -1,0 +1,110 @@
+import pytest
+from helpers import rows, same
+from pyspark.sql import functions as F
+
+from rebasket.functions.ratios import FEATURES
+from rebasket.operators import labels
+from rebasket.operators.model import fit
+from rebasket.operators.prior import orders_with_lines
+from rebasket.plans.matrix import feature_matrix, joined_features, labelled_matrix
+from rebasket.plans.queries import request_bodies
+from rebasket.session import fresh_path
+from rebasket.sources.files import feature_store, write_feature_store
+from rebasket.streaming.refresh import read_joined, refresh, refresh_on_arrival
+from rebasket.streaming.requests import (
+    lookup,
+    lookup_stream,
+    request_stream,
+    score_requests,
+    score_stream,
+    score_vectors,
+)
+
+
+@pytest.fixture(scope="module")
+def model(tiny):
+    train = labels.split_train_test(labelled_matrix(tiny))[0]
+    return fit(train, {"nrounds": 2, "max_depth": 3})
+
+
+@pytest.fixture(scope="module")
+def store(spark, tiny):
+    return write_feature_store(feature_matrix(tiny), fresh_path(spark, "store"))
+
+
+def land(requests, path, pieces):
+    requests.repartition(pieces).write.text(path)
+
+
+def test_every_request_is_answered(spark, store, model):
+    known = store.orderBy("user_id", "product_id").first()
+    bodies = [f"{known.user_id},{known.product_id}"] * 2 + ["999999,1", "abc,1", "7", ""]
+    requests = spark.createDataFrame([(b,) for b in bodies], "body string")
+    found = score_requests(requests, store, model).collect()
+    assert sorted(r.body for r in found) == sorted(bodies)
+    for r in found:
+        if r.status == "ok":
+            assert 0 <= r.prob <= 1 and r.decision == int(r.prob > 0.2) and r.verdict
+        else:
+            assert r.prob is None and r.decision == 0 and r.verdict is None
+    assert sorted(r.status for r in found) == ["bad_request"] * 3 + ["ok"] * 2 + ["unknown_key"]
+
+
+def test_batch_and_stream_answers_are_equal(spark, tiny, store, model):
+    base = fresh_path(spark, "stream")
+    requests = request_bodies(tiny)
+    land(requests, f"{base}/landing", 3)
+    arriving = request_stream(spark, f"{base}/landing", files_per_batch=1)
+    lookup_stream(arriving, store, f"{base}/found", f"{base}/state1").awaitTermination()
+    found = spark.read.parquet(f"{base}/found")
+    assert found.select("batch_id").distinct().count() > 1
+    same(found.drop("batch_id"), lookup(requests, store))
+    score_stream(arriving, store, model, f"{base}/out", f"{base}/state2").awaitTermination()
+    same(spark.read.parquet(f"{base}/out").drop("batch_id"), score_requests(requests, store, model))
+
+
+def test_vector_requests_score_like_their_keys(spark, tiny, model):
+    packed = feature_store(feature_matrix(tiny))
+    bodies = packed.select(F.concat_ws(",", "user_id", "product_id").alias("body"))
+    by_key = score_requests(bodies, packed, model).select("user_id", "product_id", "prob")
+    vectors = score_vectors(packed.select(F.col("feature").alias("body")), model)
+    assert rows(vectors, "prob") == rows(by_key, "prob")
+    assert len(packed.first().feature.split(",")) == len(FEATURES)
+
+
+def test_refresh_over_pieces_equals_batch(spark, tiny):
+    base = fresh_path(spark, "refresh")
+    landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
+    # Orders arrive out of order: the later half of each history first.
+    late = F.col("order_number") <= 5
+    landed.where(~late).repartition(2).write.parquet(f"{base}/landing")
+    refresh_on_arrival(spark, f"{base}/landing", f"{base}/state", f"{base}/out", buckets=4,
+                       files_per_batch=1).awaitTermination()
+    landed.where(late).coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    refresh_on_arrival(spark, f"{base}/landing", f"{base}/state", f"{base}/out", buckets=4).awaitTermination()
+    same(read_joined(spark, f"{base}/out"), joined_features(tiny))
+
+
+def test_replayed_batch_changes_nothing(spark, tiny):
+    out = fresh_path(spark, "replay")
+    landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
+    first, second = landed.where("user_id % 3 = 0"), landed.where("user_id % 3 > 0")
+    refresh(first, 0, out, buckets=4)
+    refresh(second, 1, out, buckets=4)
+    before = rows(read_joined(spark, out))
+    refresh(second, 1, out, buckets=4)
+    assert rows(read_joined(spark, out)) == before
+    same(read_joined(spark, out), joined_features(tiny))
+
+
+def test_only_touched_buckets_are_rewritten(spark, tiny, tmp_path):
+    out = str(tmp_path / "out")
+    landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
+    user = tiny.orders.first().user_id
+    refresh(landed.where(F.col("user_id") != user), 0, out, buckets=8)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/up_features").rglob("*.parquet")}
+    refresh(landed.where(F.col("user_id") == user), 1, out, buckets=8)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/up_features").rglob("*.parquet")}
+    changed = {p.parent.name for p in set(before) ^ set(after)}
+    assert len(changed) == 1
+    same(read_joined(spark, out), joined_features(tiny))
