@@ -80,10 +80,6 @@ def prd_features(prior: DataFrame, within: list[str] | None = None) -> DataFrame
     """
     group = [*(within or []), "product_id"]
     pair = [*(within or []), *PAIR]
-    lines = prior.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("prod_orders"),
-        F.sum("reordered").alias("prod_reorders"),
-    )
     per_order = prior.groupBy(*pair, "order_number").agg(F.count(F.lit(1)).alias("n"))
     nth = F.row_number().over(Window.partitionBy(*pair).orderBy("order_number"))
     lowest = per_order.withColumn("nth", nth).where(F.col("nth") <= 2)
@@ -91,13 +87,20 @@ def prd_features(prior: DataFrame, within: list[str] | None = None) -> DataFrame
         F.sum(F.when(F.col("nth") == 1, F.col("n"))).alias("first"),
         F.sum(F.when(F.col("nth") == 2, F.col("n"))).alias("second"),
     )
-    second = F.when(F.col("first") == 1, F.coalesce("second", F.lit(0))).otherwise(0)
-    sequence = pairs.groupBy(*[F.col(c).alias(f"_{c}") for c in group]).agg(
-        F.sum("first").alias("prod_first_orders"),
-        F.sum(second).alias("prod_second_orders"),
+    sequence = pairs.select(
+        *group,
+        F.col("first").alias("prod_first_orders"),
+        F.when(F.col("first") == 1, F.col("second")).alias("prod_second_orders"),
+    )
+    lines = prior.select(*group, F.lit(1).alias("prod_orders"), F.col("reordered").alias("prod_reorders"))
+    # Both kinds of rows meet in one partial aggregate, so one small shuffle serves them.
+    every = lines.unionByName(sequence, allowMissingColumns=True)
+    return every.groupBy(*group).agg(
+        F.count("prod_orders").alias("prod_orders"),
+        F.sum("prod_reorders").alias("prod_reorders"),
+        F.sum("prod_first_orders").alias("prod_first_orders"),
+        F.coalesce(F.sum("prod_second_orders"), F.lit(0)).alias("prod_second_orders"),
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]
-    return lines.join(sequence, same).drop(*[f"_{c}" for c in group])
 
 
 def features_join(up: DataFrame, prd: DataFrame, uf1: DataFrame, uf2: DataFrame) -> DataFrame:

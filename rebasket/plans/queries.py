@@ -173,7 +173,8 @@ def request_bodies(s: Shop) -> DataFrame:
 
 def request_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = shop(spark, sf_dir)
-    found = requests.lookup(request_bodies(s), files.feature_store(feature_matrix(s)))
+    arrived = stored(request_bodies(s), "requests")
+    found = requests.lookup(arrived, files.feature_store(feature_matrix(s)))
     return _unpacked(found)
 
 
