@@ -75,11 +75,11 @@ def prd_features(prior: DataFrame, within: list[str] | None = None) -> DataFrame
     number, and a second one when exactly one line has. So the two lowest order
     numbers of a pair and their line counts decide, and counting per order
     number before the window keeps both shuffles free of hot groups: the window
-    passes on at most two rows per pair from every task. ``within`` names
-    columns that follow from the user; the counts are then kept apart by them.
+    passes on at most two rows per pair from every task. With ``user_id`` in
+    ``within``, or columns that follow from it, the counts are kept apart by them.
     """
     group = [*(within or []), "product_id"]
-    pair = [*(within or []), *PAIR]
+    pair = [*(c for c in within or [] if c not in PAIR), *PAIR]
     per_order = prior.groupBy(*pair, "order_number").agg(F.count(F.lit(1)).alias("n"))
     nth = F.row_number().over(Window.partitionBy(*pair).orderBy("order_number"))
     lowest = per_order.withColumn("nth", nth).where(F.col("nth") <= 2)

@@ -7,6 +7,7 @@ for three of four users, else 'test'); all earlier ones are 'prior'.
 from __future__ import annotations
 
 import hashlib
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -117,6 +118,7 @@ STORED = {
     "order_products_prior": ORDER_LINES,
 }
 _written: set[str] = set()
+_writing = threading.Lock()
 
 
 def shop(spark: SparkSession, sf_dir: str) -> Shop:
@@ -131,19 +133,20 @@ def shop(spark: SparkSession, sf_dir: str) -> Shop:
     def stored(name: str) -> DataFrame:
         return spark.read.schema(STORED[name]).parquet(f"{base}/{name}")
 
-    if base not in _written:
-        def raw(name: str) -> DataFrame:
-            return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-        derive_products(raw("part")).write.mode("overwrite").parquet(f"{base}/products")
-        # The hint sizes the files: one per few tasks, not one per task and eval set.
-        derive_orders(raw("orders")).hint("rebalance", "eval_set").write.mode(
-            "overwrite").partitionBy("eval_set").parquet(f"{base}/orders")
-        derive_order_products(raw("lineitem"), raw("part"), stored("products"), stored("orders")).write.mode(
-            "overwrite").parquet(f"{base}/order_products")
-        write_prior(order_products_prior(stored("orders"), stored("order_products")),
-                    f"{base}/order_products_prior")
-        _written.add(base)
+    def raw(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    with _writing:
+        if base not in _written:
+            derive_products(raw("part")).write.mode("overwrite").parquet(f"{base}/products")
+            # The hint sizes the files: one per few tasks, not one per task and eval set.
+            derive_orders(raw("orders")).hint("rebalance", "eval_set").write.mode(
+                "overwrite").partitionBy("eval_set").parquet(f"{base}/orders")
+            lines = derive_order_products(raw("lineitem"), raw("part"), stored("products"), stored("orders"))
+            lines.write.mode("overwrite").parquet(f"{base}/order_products")
+            write_prior(order_products_prior(stored("orders"), stored("order_products")),
+                        f"{base}/order_products_prior")
+            _written.add(base)
     columns = ["order_id", "user_id", "eval_set", "order_number", "days_since_prior_order"]
     return Shop(
         products=stored("products"),

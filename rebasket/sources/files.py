@@ -36,15 +36,15 @@ def csv_to_parquet(spark: SparkSession, path: str, schema: str, out: str,
 
 
 def write_prior(prior: DataFrame, out: str) -> DataFrame:
-    """Store the prior lines as a Parquet table, ordered for the feature jobs.
+    """Store the prior lines as a Parquet table, clustered by user for the feature jobs.
 
-    Range-clustered by user and product: the lines of a pair meet in one or two
-    scan tasks, so the partial aggregates of the feature jobs shuffle about one
-    row per pair instead of one per line. The order columns in the range key
-    let a hot user, and a hot pair, spread over many files.
+    The lines of a pair meet in one scan task, so the partial aggregates of the
+    feature jobs shuffle about one row per pair instead of one per line. The
+    rebalance splits a user, or copies of one line, that exceed a file.
     """
-    key = ["user_id", "product_id", "order_number", "order_id", "add_to_cart_order"]
-    prior.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").parquet(out)
+    order = ["user_id", "product_id", "order_number"]
+    clustered = prior.hint("rebalance", "user_id").sortWithinPartitions(*order)
+    clustered.write.mode("overwrite").parquet(out)
     return prior.sparkSession.read.schema(prior.schema).parquet(out)
 
 

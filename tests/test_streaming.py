@@ -10,6 +10,7 @@ from rebasket.plans.matrix import feature_matrix, joined_features, labelled_matr
 from rebasket.plans.queries import request_bodies
 from rebasket.session import fresh_path
 from rebasket.sources.files import feature_store, write_feature_store
+from rebasket.streaming import refresh as refresh_module
 from rebasket.streaming.refresh import read_joined, refresh, refresh_on_arrival
 from rebasket.streaming.requests import (
     lookup,
@@ -88,23 +89,49 @@ def test_refresh_over_pieces_equals_batch(spark, tiny):
 def test_replayed_batch_changes_nothing(spark, tiny):
     out = fresh_path(spark, "replay")
     landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
-    first, second = landed.where("user_id % 3 = 0"), landed.where("user_id % 3 > 0")
-    refresh(first, 0, out, buckets=4)
-    refresh(second, 1, out, buckets=4)
+    late = F.col("order_number") > 4
+    refresh(landed.where(~late), 0, out, buckets=4)
+    refresh(landed.where(late & (F.col("user_id") % 3 == 0)), 1, out, buckets=4)
+    refresh(landed.where(late & (F.col("user_id") % 3 > 0)), 2, out, buckets=4)
     before = rows(read_joined(spark, out))
-    refresh(second, 1, out, buckets=4)
+    refresh(landed.where(late & (F.col("user_id") % 3 > 0)), 2, out, buckets=4)
     assert rows(read_joined(spark, out)) == before
     same(read_joined(spark, out), joined_features(tiny))
 
 
+def test_batch_cut_off_before_its_note_is_not_seen(spark, tiny, monkeypatch):
+    out = fresh_path(spark, "cut")
+    landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
+    late = F.col("order_number") > 4
+    refresh(landed.where(~late), 0, out, buckets=4)
+    before = rows(read_joined(spark, out))
+
+    write = refresh_module._replace_partitions
+
+    def fail_at_pairs(frame, path, by):
+        if path.endswith("pair_counts"):
+            raise RuntimeError("lost")
+        write(frame, path, by)
+
+    monkeypatch.setattr(refresh_module, "_replace_partitions", fail_at_pairs)
+    with pytest.raises(RuntimeError, match="lost"):
+        refresh(landed.where(late), 1, out, buckets=4)
+    assert rows(read_joined(spark, out)) == before
+    monkeypatch.undo()
+    refresh(landed.where(late), 1, out, buckets=4)
+    same(read_joined(spark, out), joined_features(tiny))
+
+
 def test_only_touched_buckets_are_rewritten(spark, tiny, tmp_path):
     out = str(tmp_path / "out")
     landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
     user = tiny.orders.first().user_id
-    refresh(landed.where(F.col("user_id") != user), 0, out, buckets=8)
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/up_features").rglob("*.parquet")}
-    refresh(landed.where(F.col("user_id") == user), 1, out, buckets=8)
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "out/up_features").rglob("*.parquet")}
-    changed = {p.parent.name for p in set(before) ^ set(after)}
-    assert len(changed) == 1
+    late = (F.col("user_id") == user) & (F.col("order_number") > 1)
+    refresh(landed.where(~late), 0, out, buckets=8)
+    before = set((tmp_path / "out/up_features").rglob("*.parquet"))
+    refresh(landed.where(late), 1, out, buckets=8)
+    after = set((tmp_path / "out/up_features").rglob("*.parquet"))
+    assert before < after
+    assert {p.parent.name for p in after - before} == {"slot=1"}
+    assert len({p.parent.parent.name for p in after - before}) == 1
     same(read_joined(spark, out), joined_features(tiny))
