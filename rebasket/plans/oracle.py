@@ -70,8 +70,8 @@ _FEATURES = """uf1 as (
   from i_orders group by user_id),
 uf2 as (
   select user_id, count(product_id) user_total_products, count(distinct product_id) user_distinct_products,
-    sum(case when reordered = 1 then 1 else 0 end)
-      / cast(nullif(sum(case when order_number > 1 then 1 else 0 end), 0) as double) user_reorder_ratio
+    count(*) filter (where reordered = 1)
+      / nullif(cast(count(*) filter (where order_number > 1) as double), 0) user_reorder_ratio
   from prior group by user_id),
 up as (
   select user_id, product_id, count(*) up_orders, min(order_number) up_first_order,
@@ -81,8 +81,8 @@ seq as (
   select *, rank() over (partition by user_id, product_id order by order_number) product_seq_time from prior),
 prd as (
   select product_id, count(*) prod_orders, cast(sum(reordered) as bigint) prod_reorders,
-    cast(sum(case when product_seq_time = 1 then 1 else 0 end) as bigint) prod_first_orders,
-    cast(sum(case when product_seq_time = 2 then 1 else 0 end) as bigint) prod_second_orders
+    count(*) filter (where product_seq_time = 1) prod_first_orders,
+    count(*) filter (where product_seq_time = 2) prod_second_orders
   from seq group by product_id),
 joined as (
   select up.*, uf1.* exclude (user_id), uf2.* exclude (user_id), prd.* exclude (product_id)
