@@ -159,6 +159,11 @@ def tune_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- requests and refresh ----------------------------------------------------
 
+def _third(landed: DataFrame) -> int:
+    """A third of the landed files, so that a stream over them takes three batches."""
+    return -(-len(landed.inputFiles()) // 3)
+
+
 def request_bodies(s: Shop) -> DataFrame:
     """A request per line of the orders to predict, some of pairs never bought
     before, and unreadable ones: a word as user, or no product."""
@@ -187,8 +192,8 @@ def request_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = shop(spark, sf_dir)
     base = fresh_path(spark, "requests")
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
-    request_bodies(s).repartition(3).write.text(f"{base}/landing")
-    arriving = requests.request_stream(spark, f"{base}/landing", files_per_batch=1)
+    request_bodies(s).write.text(f"{base}/landing")
+    arriving = requests.request_stream(spark, f"{base}/landing", _third(spark.read.text(f"{base}/landing")))
     requests.lookup_stream(arriving, store, f"{base}/out", f"{base}/state").awaitTermination()
     return _unpacked(spark.read.parquet(f"{base}/out").drop("batch_id"))
 
@@ -200,20 +205,21 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(labelled_matrix(s), "labelled")
     fitted = model.fit(labels.split_train_test(rows)[0], SHORT_FIT)
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
-    request_bodies(s).repartition(3).write.text(f"{base}/landing")
-    arriving = requests.request_stream(spark, f"{base}/landing", files_per_batch=1)
+    request_bodies(s).write.text(f"{base}/landing")
+    arriving = requests.request_stream(spark, f"{base}/landing", _third(spark.read.text(f"{base}/landing")))
     requests.score_stream(arriving, store, fitted, f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
 def refresh_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All order lines landed in pieces, one micro-batch each; the joined features."""
+    """All order lines landed as files, refreshed in three micro-batches; the joined features."""
     s = shop(spark, sf_dir)
     base = fresh_path(spark, "refresh")
     landed = prior.orders_with_lines(s.orders, s.order_products, eval_set=None)
-    landed.repartition(3).write.parquet(f"{base}/landing")
+    landed.write.parquet(f"{base}/landing")
     refresh.refresh_on_arrival(
-        spark, f"{base}/landing", f"{base}/state", f"{base}/out", buckets=16, files_per_batch=1
+        spark, f"{base}/landing", f"{base}/state", f"{base}/out", buckets=16,
+        files_per_batch=_third(spark.read.parquet(f"{base}/landing")),
     ).awaitTermination()
     return refresh.read_joined(spark, f"{base}/out")
 

@@ -2,7 +2,7 @@ from helpers import rows, same
 from pyspark.sql import functions as F
 
 from rebasket.plans.matrix import feature_matrix, labelled_matrix
-from rebasket.plans.pipeline import build_features, recommend, train_model
+from rebasket.plans.whole_run import build_features, recommend, train_model
 from rebasket.sources.files import read_feature_store
 
 
