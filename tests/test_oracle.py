@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
 from check import rows_of  # noqa: E402
+from rebasket.plans import oracle, queries  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,7 +23,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_same_rows_as_sql(spark, duck, name):
     frame = entry.queries()[name](spark, SF_DIR)
     result = duck.execute(entry.oracle_sql()[name])
@@ -32,7 +33,7 @@ def test_same_rows_as_sql(spark, duck, name):
 
 
 def test_only_model_queries_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    assert set(queries.queries()) - set(oracle.oracle_sql()) == {
         "fit_and_score", "tune_grid", "tune_random", "score_requests"}
 
 
