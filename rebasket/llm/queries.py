@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk
+from . import bottomk, cube
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -22,7 +22,12 @@ def op5_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cube.mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_bottomk": op5_bottomk,
+        "op9_cube": op9_cube,
     }
