@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, cube, llr
+from . import bottomk, cube, llr, quality
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return llr.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +36,7 @@ def op9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_bytenet": op1_bytenet,
         "op4_llr": op4_llr,
         "op5_bottomk": op5_bottomk,
         "op9_cube": op9_cube,
