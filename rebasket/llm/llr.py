@@ -62,13 +62,14 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS) -> np.ndarray:
     """log p(bucket | trusted) - log p(bucket | corpus) of the 2**bits buckets.
 
     Counts cover every document; trusted are those with a label of quality 1.
-    Counted in the map tasks, so a bucket moves once per task. The table has a
+    The texts move once, to meet their labels: distinct ids, hashed, whatever the size
+    of either side. Counted in the map tasks, so a bucket moves once per task. The table has a
     fixed size, whatever the corpus. The trusted counts are drawn towards the
     corpus by PRIOR features per bucket, so buckets rarely seen say little.
     """
     good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").cast("long").alias("good_id")).distinct()
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        good, F.col("doc_id") == F.col("good_id"), "left"
+        good.hint("shuffle_hash"), F.col("doc_id") == F.col("good_id"), "left"
     ).select("text", F.col("good_id").isNotNull().alias("trusted"))
     counts = (
         marked.mapInArrow(_count(bits), "bucket int, corpus long, trusted long")
