@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, cube, llr, quality
+from . import bottomk, cube, llr, neardup, quality
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -30,6 +30,10 @@ def op5_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube.mix(table(spark, sf_dir, "documents"))
 
@@ -39,5 +43,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bytenet": op1_bytenet,
         "op4_llr": op4_llr,
         "op5_bottomk": op5_bottomk,
+        "op7_minhash": op7_minhash,
         "op9_cube": op9_cube,
     }
