@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, cube, llr, neardup, quality
+from . import bottomk, cube, llr, neardup, quality, substring
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -34,6 +34,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube.mix(table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_llr": op4_llr,
         "op5_bottomk": op5_bottomk,
         "op7_minhash": op7_minhash,
+        "op8_debruijn": op8_debruijn,
         "op9_cube": op9_cube,
     }
