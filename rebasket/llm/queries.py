@@ -7,8 +7,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, cube, llr, neardup, quality, substring
+from . import bottomk, cube, llr, neardup, quality, substring, wavelet
 
+WORD_BPE, WORD_BPE_SIZE = "word_bpe_49k.json", 49408
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -22,6 +23,12 @@ def op1_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return wavelet.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), WORD_BPE_SIZE)
+
+
 def op4_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return llr.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +52,7 @@ def op9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bytenet": op1_bytenet,
+        "op3_wavelet": op3_wavelet,
         "op4_llr": op4_llr,
         "op5_bottomk": op5_bottomk,
         "op7_minhash": op7_minhash,
