@@ -3,5 +3,66 @@
 from __future__ import annotations
 
 
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+OP2 = """
+with p as (
+    select page_id, cast(strlen(coalesce(html, '')) as bigint) payload_bytes, sha1(coalesce(html, '')) payload_digest from pages
+), h as (
+    select payload_digest d, max(page_id) holder from p where payload_bytes >= 1000 group by payload_digest
+)
+select page_id, payload_bytes, payload_digest,
+    case when holder is not null and page_id is distinct from holder then 'revisit' else 'response' end record_type,
+    case when page_id is distinct from holder then holder end refers_to
+from p left join h on payload_digest = d and payload_bytes >= 1000
+"""
+
+# documents that share a shingle are compared; components by spreading the least id
+OP7 = f"""
+with recursive w as (
+    select doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ws
+    from documents
+), s as (
+    select doc_id, case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, ' ')]
+        else list_distinct([array_to_string(ws[i:i + 2], ' ') for i in range(1, len(ws) - 1)]) end sh
+    from w
+), e as (
+    select doc_id, cast(len(sh) as bigint) n, unnest(sh) x from s
+), c as (
+    select a.doc_id a, b.doc_id b, a.n na, b.n nb, count(*) both_have
+    from e a join e b on a.x = b.x and a.doc_id <> b.doc_id group by all
+), l as (
+    select a, b from c where 100 * both_have >= 85 * (na + nb - both_have)
+), r(doc_id, seen) as (
+    select doc_id, doc_id from s union select l.b, r.seen from r join l on l.a = r.doc_id
+), m as (
+    select doc_id, min(seen) component_id from r group by doc_id
+)
+select s.doc_id, cast(len(sh) as bigint) n_shingles, component_id, s.doc_id = component_id kept from s join m using (doc_id)
+"""
+
+OP8 = f"""
+with w as (
+    select doc_id, {_WORDS.format("coalesce(text, '')")} ws from documents
+), p as (
+    select doc_id, unnest(range(1, len(ws) - 33)) i, ws from w where len(ws) >= 35
+), g as (
+    select doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) h from p
+), r as (
+    select doc_id, i from g where h in (select h from g group by h having count(*) > 1)
+), c as (
+    select doc_id, list(distinct k) gone from (select doc_id, unnest(range(i, i + 35)) k from r) group by doc_id
+), t as (
+    select w.doc_id, ws, coalesce(gone, []) gone from w left join c using (doc_id)
+), kw as (
+    select doc_id, string_agg(x, ' ' order by k) kept
+    from (select doc_id, gone, unnest(ws) x, unnest(range(1, len(ws) + 1)) k from t) u
+    where not list_contains(gone, k) group by doc_id
+)
+select t.doc_id, cast(len(ws) as bigint) n_words, cast(len(gone) as bigint) n_removed, sha256(coalesce(kept, '')) kept_sha256
+from t left join kw using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": OP2, "op7_minhash": OP7, "op8_debruijn": OP8}

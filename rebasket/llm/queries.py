@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, cube, llr, neardup, quality, substring, wavelet
+from . import bottomk, cube, llr, neardup, quality, substring, warc, wavelet
 
 WORD_BPE, WORD_BPE_SIZE = "word_bpe_49k.json", 49408
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -23,6 +23,11 @@ def op1_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_index(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,6 +57,7 @@ def op9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bytenet": op1_bytenet,
+        "op2_warc": op2_warc,
         "op3_wavelet": op3_wavelet,
         "op4_llr": op4_llr,
         "op5_bottomk": op5_bottomk,
