@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, cube, llr, neardup, quality, substring, warc, wavelet
+from . import bottomk, cube, llr, neardup, pii, quality, substring, warc, wavelet
 
 WORD_BPE, WORD_BPE_SIZE = "word_bpe_49k.json", 49408
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -54,6 +54,10 @@ def op9_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bytenet": op1_bytenet,
@@ -64,4 +68,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_minhash": op7_minhash,
         "op8_debruijn": op8_debruijn,
         "op9_cube": op9_cube,
+        "op10_semicrf": op10_semicrf,
     }
