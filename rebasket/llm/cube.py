@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import stored
-from .text import WORD
+from .text import WORD, free_name
 
 CHUNK = 2048
 LANDING = 12
@@ -231,3 +231,21 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, chunk: int = CHUNK) -> DataFra
     ).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), "source",
     )
+
+
+def mixed(docs: DataFrame, most: int = MOST_COPIES, chunk: int = CHUNK) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with their columns.
+
+    Rows that agree in id, source and number of words are taken equally often,
+    the sum of their copies shared and rounded down.
+    """
+    names = {n: free_name(docs.columns, n) for n in ("mix_id", "mix_source", "mix_size", "mix_copies", "mix_nth")}
+    taken = mix(docs, most, chunk).groupBy(
+        F.col("doc_id").alias(names["mix_id"]), F.col("source").alias(names["mix_source"]), F.col("size").alias(names["mix_size"])
+    ).agg(F.floor(F.avg("copies") + 1e-9).cast("int").alias(names["mix_copies"])).filter(F.col(names["mix_copies"]) > 0)
+    return docs.join(
+        taken.hint("shuffle_hash"),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(names["mix_id"]))
+        & F.col("source").cast("string").eqNullSafe(F.col(names["mix_source"]))
+        & (word_count(F.col("text").cast("string")) == F.col(names["mix_size"])),
+    ).withColumn(names["mix_nth"], F.explode(F.sequence(F.lit(1), F.col(names["mix_copies"])))).drop(*names.values())

@@ -5,8 +5,8 @@ Two documents are linked if intersection / union reaches the threshold; all
 decisions use the full sets, signatures only pick the pairs to look at.
 
 1. Equal sets form one class, represented by its least document.
-2. Each representative gets 125 universal-hash minima, cut into 25 bands of five
-   rows. Two sets at 0.85 share no band with a probability of 4e-7.
+2. Each representative gets universal-hash minima, cut into bands (``Bands``). Two
+   sets at the threshold share no band with a probability below 5e-7.
 3. In every bucket of a band, each member is compared with the bucket's most
    central member (the one whose buckets are fullest): as many pairs as members.
 4. Verified links form components. Members of one bucket group that are still in
@@ -19,6 +19,7 @@ decisions use the full sets, signatures only pick the pairs to look at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
@@ -28,14 +29,42 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import stored
 from .components import components
-from .text import Words, binary_column, mix, slices, window_hashes
+from .text import Words, binary_column, free_name, mix, slices, window_hashes
 
-BANDS, ROWS = 25, 5
 BLOCK = 192
-_HASHES = BANDS * ROWS
+_MOST_HASHES = 128
 _draw = np.random.default_rng(20250)
-_FACTOR = _draw.integers(0, 1 << 64, _HASHES, dtype=np.uint64) | np.uint64(1)
-_TERM = _draw.integers(0, 1 << 64, _HASHES, dtype=np.uint64)
+_FACTOR = _draw.integers(0, 1 << 64, _MOST_HASHES, dtype=np.uint64) | np.uint64(1)
+_TERM = _draw.integers(0, 1 << 64, _MOST_HASHES, dtype=np.uint64)
+
+
+@dataclass(frozen=True)
+class Bands:
+    """A threshold in percent (80 or more), and the bands that find it."""
+
+    percent: int
+
+    def __post_init__(self):
+        if not 80 <= self.percent <= 100:
+            raise ValueError("the bands are made for thresholds from 80 percent")
+
+    @property
+    def rows(self) -> int:
+        return 5 if self.percent >= 85 else 4
+
+    @property
+    def number(self) -> int:
+        return 25 if self.percent >= 85 else 32
+
+    @property
+    def hashes(self) -> int:
+        return self.rows * self.number
+
+    @property
+    def least_agreement(self) -> int:
+        """Equal minima that a pair at the threshold has with a probability above 1 - 3e-7."""
+        p = self.percent / 100
+        return int(np.floor(self.hashes * p - 5 * np.sqrt(self.hashes * p * (1 - p))))
 
 
 def shingle_sets(part: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -54,38 +83,38 @@ def shingle_sets(part: pa.Array, width: int) -> Iterator[np.ndarray]:
             yield grams[:0]
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """The minima of every hash over each set (none may be empty), 32 bits each."""
-    out = np.empty((len(sets), _HASHES), np.uint32)
+def signatures(sets: list[np.ndarray], hashes: int) -> np.ndarray:
+    """The minima of the first hashes over each set (none may be empty), 32 bits each."""
+    out = np.empty((len(sets), hashes), np.uint32)
     bounds = np.cumsum([0, *map(len, sets)])
     first = 0
     while first < len(sets):  # as many sets at a time as stay in the processor's cache
         end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + (1 << 15), side="right")) - 1)
         values = np.concatenate(sets[first:end])
         starts = bounds[first:end] - bounds[first]
-        for i in range(_HASHES):
+        for i in range(hashes):
             out[first:end, i] = np.minimum.reduceat(values * _FACTOR[i] + _TERM[i], starts) >> np.uint64(32)
         first = end
     return out
 
 
-def bands(signature: np.ndarray) -> np.ndarray:
+def band_keys(signature: np.ndarray, bands: Bands) -> np.ndarray:
     """One 64-bit key per band, the band's number mixed in."""
-    rows = signature.reshape(len(signature), BANDS, ROWS).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2])
-    for i in range(ROWS):
+    rows = signature.reshape(len(signature), bands.number, bands.rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, bands.number + 1, dtype=np.uint64), rows.shape[:2])
+    for i in range(bands.rows):
         key = mix(key ^ rows[:, :, i])
     return key.astype(np.int64)
 
 
-def _read(width: int):
+def _read(width: int, bands: Bands):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
             for first, part in slices(binary_column(batch.column("text")), 1 << 20):
                 sets = list(shingle_sets(part, width))
                 some = [s for s in sets if len(s)]
-                signed = iter(signatures(some))
+                signed = iter(signatures(some, bands.hashes))
                 rows = [next(signed).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(first, len(part)),
@@ -97,18 +126,21 @@ def _read(width: int):
     return read
 
 
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not len(batch):
-            continue
-        signed = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, _HASHES)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.repeat(batch.column("doc_id").to_numpy(), BANDS)),
-            pa.array(bands(signed).reshape(-1)),
-        ], names=["doc_id", "band"])
+def _band_rows(bands: Bands):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            signed = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, bands.hashes)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(batch.column("doc_id").to_numpy(), bands.number)),
+                pa.array(band_keys(signed, bands).reshape(-1)),
+            ], names=["doc_id", "band"])
+
+    return rows
 
 
-def _set_rows(width: int):
+def _set_rows(width: int, bands: Bands):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in slices(binary_column(batch.column("text")), 1 << 20):
@@ -116,19 +148,13 @@ def _set_rows(width: int):
                 some = [i for i, s in enumerate(sets) if len(s)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(first, len(part)).take(pa.array(some, pa.int64())),
-                    pa.array([s.tobytes() for s in signatures([sets[i] for i in some])], pa.binary()),
+                    pa.array([s.tobytes() for s in signatures([sets[i] for i in some], bands.hashes)], pa.binary()),
                     pa.array([sets[i].tobytes() for i in some], pa.binary()),
                 ], names=["doc_id", "signature", "shingles"])
 
     return rows
 
 
-def least_agreement(percent: int) -> int:
-    """Equal minima that a pair at the threshold has with a probability above 1 - 3e-7."""
-    p = percent / 100
-    return int(np.floor(_HASHES * p - 5 * np.sqrt(_HASHES * p * (1 - p))))
-
-
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union, on ascending distinct arrays."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
@@ -138,16 +164,14 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def _verify(percent: int):
-    least = least_agreement(percent)
-
+def _verify(bands: Bands):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             columns = [batch.column(c).to_pylist() for c in ("signature_a", "signature_b", "shingles_a", "shingles_b")]
             for sa, sb, xa, xb in zip(*columns):
                 agree = np.count_nonzero(np.frombuffer(sa, np.uint32) == np.frombuffer(sb, np.uint32))
-                keep.append(bool(agree >= least) and linked(np.frombuffer(xa, np.uint64), np.frombuffer(xb, np.uint64), percent))
+                keep.append(bool(agree >= bands.least_agreement) and linked(np.frombuffer(xa, np.uint64), np.frombuffer(xb, np.uint64), bands.percent))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
@@ -155,21 +179,21 @@ def _verify(percent: int):
     return verify
 
 
-def block_links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+def block_links(group: pd.DataFrame, bands: Bands) -> pd.DataFrame:
     """Links between the two blocks of a group (within it, if it is one block), across components."""
     ids = group["doc_id"].to_numpy()
     part = group["component"].to_numpy()
     side = group["side"].to_numpy()
-    signed = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, _HASHES)
+    signed = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, bands.hashes)
     sizes = np.array([len(s) // 8 for s in group["shingles"]])
     left = np.flatnonzero(side != 2)
     right = np.flatnonzero(side != 1)
     agree = np.zeros((len(left), len(right)), np.int16)
-    for i in range(_HASHES):
+    for i in range(bands.hashes):
         agree += signed[left, i][:, None] == signed[right, i][None, :]
     small = np.minimum(sizes[left][:, None], sizes[right][None, :])
     large = np.maximum(sizes[left][:, None], sizes[right][None, :])
-    ask = (agree >= least_agreement(percent)) & (100 * small >= percent * large) & (part[left][:, None] != part[right][None, :])
+    ask = (agree >= bands.least_agreement) & (100 * small >= bands.percent * large) & (part[left][:, None] != part[right][None, :])
     if side[0] == 0:
         ask &= left[:, None] < right[None, :]
     a, b = np.nonzero(ask)
@@ -195,12 +219,12 @@ def block_links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
         i, j = place[left[a]], place[right[b]]
         shared = common[i, j].astype(np.int64)
         union = sizes[left[a]] + sizes[right[b]] - shared
-        yes = 100 * shared >= percent * union
+        yes = 100 * shared >= bands.percent * union
         out = list(zip(ids[left[a[yes]]], ids[right[b[yes]]]))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def residual_links(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def residual_links(members: DataFrame, bands: Bands, block: int = BLOCK) -> DataFrame:
     """Links between members of one group that are in different components.
 
     ``members``: doc_id, gathered (the group), component, signature, shingles.
@@ -232,7 +256,7 @@ def residual_links(members: DataFrame, percent: int, block: int = BLOCK) -> Data
     ).unionByName(pairs.filter(~one).select("pair", "g", F.col("own2").alias("o"), F.col("n2").alias("k"), F.lit(2).alias("side")))
     rows = placed.join(sides, (F.col("gathered") == F.col("g")) & (F.col("own") == F.col("o")) & (F.col("number") == F.col("k")))
     return rows.select("pair", "side", "doc_id", "component", "signature", "shingles").groupBy("pair").applyInPandas(
-        lambda group: block_links(group, percent), "a long, b long")
+        lambda group: block_links(group, bands), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
@@ -244,13 +268,14 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     rows of equal ids are one node: they share links and are all kept if their id
     is. Other columns are ignored; an empty table gives no rows.
     """
+    bands = Bands(percent)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    read = stored(texts.mapInArrow(_read(width), "doc_id long, n long, digest binary, signature binary"), "signatures")
+    read = stored(texts.mapInArrow(_read(width, bands), "doc_id long, n long, digest binary, signature binary"), "signatures")
     sound = read.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     classes = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     # an id can stand for several texts: the first signature of each class is taken by its own digest
     alone = sound.join(classes.select(F.col("digest").alias("of"), "rep"), (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("rep")))
-    members = stored(alone.select("doc_id", "signature").mapInArrow(_band_rows, "doc_id long, band long"), "bands")
+    members = stored(alone.select("doc_id", "signature").mapInArrow(_band_rows(bands), "doc_id long, band long"), "bands")
     full = members.groupBy("band").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     met = stored(members.join(full.withColumnRenamed("band", "b"), F.col("band") == F.col("b")).select("doc_id", "band", "size"), "buckets")
     central = met.groupBy("doc_id").agg(F.sum("size").alias("weight"))
@@ -262,13 +287,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     asked = met.select(F.col("doc_id").alias("id")).distinct()
     known = stored(
         texts.join(asked, F.col("doc_id") == F.col("id"), "left_semi")
-        .mapInArrow(_set_rows(width), "doc_id long, signature binary, shingles binary"), "sets")
+        .mapInArrow(_set_rows(width, bands), "doc_id long, signature binary, shingles binary"), "sets")
     near = stored(
         stars
         .join(known.select(F.col("doc_id").alias("ia"), F.col("signature").alias("signature_a"), F.col("shingles").alias("shingles_a")), F.col("a") == F.col("ia"))
         .join(known.select(F.col("doc_id").alias("ib"), F.col("signature").alias("signature_b"), F.col("shingles").alias("shingles_b")), F.col("b") == F.col("ib"))
         .select("a", "b", "signature_a", "signature_b", "shingles_a", "shingles_b")
-        .mapInArrow(_verify(percent), "a long, b long"), "links")
+        .mapInArrow(_verify(bands), "a long, b long"), "links")
     gathered = components(stars)
     joined = components(near)
     grouped = (
@@ -276,7 +301,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         .join(joined.select(F.col("node").alias("c"), F.col("component").alias("joined")), F.col("doc_id") == F.col("c"), "left")
         .select("doc_id", "gathered", F.coalesce("joined", "doc_id").alias("component"), "signature", "shingles")
     )
-    more = residual_links(stored(grouped, "groups"), percent)
+    more = residual_links(stored(grouped, "groups"), bands)
     same = sound.join(classes.select(F.col("digest").alias("of"), "rep"), F.col("digest") == F.col("of")).select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter(F.col("a") != F.col("b"))
     # ids of several texts belong to several classes; their links meet in the id
@@ -284,3 +309,14 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     found = read.join(final.withColumnRenamed("component", "least"), F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with their columns.
+
+    The dropped ids are distinct; the texts move once to meet them, at any size.
+    """
+    dropped = near_duplicates(docs, width, percent).filter(~F.col("kept")).select("doc_id").distinct()
+    name = free_name(docs.columns, "dropped_id")
+    return docs.join(
+        dropped.withColumnRenamed("doc_id", name).hint("shuffle_hash"), F.col("doc_id") == F.col(name), "left_anti")

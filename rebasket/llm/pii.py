@@ -436,7 +436,10 @@ def find_pii(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
 
 
 def redact(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
-    """The same rows and columns, with every span of ``text`` replaced by its kind in brackets; null stays null."""
+    """The same rows and columns, with every span of ``text`` replaced by its kind in brackets.
+
+    ``n_chars``, if there, follows the text; a null text stays null.
+    """
     weights = train(docs) if weights is None else weights
     at = docs.columns.index("text")
 
@@ -455,4 +458,7 @@ def redact(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
             columns[at] = pa.array(out, kind)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(run, docs.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out

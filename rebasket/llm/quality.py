@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import binary_column, raw, slices
+from .text import binary_column, free_name, raw, slices
 
 FILTER = 8
 STRIDE = 2
@@ -247,19 +247,25 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Net:
     return net
 
 
-def score(docs: DataFrame, net: Net) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score``; a null text counts as empty."""
-    shape = docs.select("*", F.lit(0.0).cast("double").alias("quality_score")).schema
+def score(docs: DataFrame, net: Net, name: str = "quality_score") -> DataFrame:
+    """All columns of ``docs`` and the score; a null text counts as empty."""
+    shape = docs.select("*", F.lit(0.0).cast("double").alias(name)).schema
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = scores(net, binary_column(batch.column(at).cast(pa.large_string())))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, shape)
 
 
+def good(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, with their columns."""
+    name = free_name(docs.columns, "quality_score")
+    return score(docs, train(docs, labels, fit), name).filter(F.col(name) >= 0.5).drop(name)
+
+
 def classify(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per document.
 

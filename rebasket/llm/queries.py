@@ -7,7 +7,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, cube, llr, neardup, pii, quality, substring, warc, wavelet
+import corpus_pipeline
+
+from . import bottomk, cube, llr, neardup, pii, quality, substring, viterbi, warc, wavelet
 
 WORD_BPE, WORD_BPE_SIZE = "word_bpe_49k.json", 49408
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -42,6 +44,12 @@ def op5_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return viterbi.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(corpus_pipeline.PIECES), ["doc_id"])
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +66,11 @@ def op10_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table(spark, sf_dir, "documents")
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bytenet": op1_bytenet,
@@ -65,8 +78,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_wavelet": op3_wavelet,
         "op4_llr": op4_llr,
         "op5_bottomk": op5_bottomk,
+        "op6_viterbi": op6_viterbi,
         "op7_minhash": op7_minhash,
         "op8_debruijn": op8_debruijn,
         "op9_cube": op9_cube,
         "op10_semicrf": op10_semicrf,
+        "pipeline": pipeline,
     }

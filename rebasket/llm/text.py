@@ -48,6 +48,14 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """The name, lengthened until no taken name equals it."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def binary_column(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """The column as one array of 64-bit offset binary; null texts become empty."""
     if isinstance(column, pa.ChunkedArray):
