@@ -19,8 +19,9 @@ def above(score: str, threshold: float) -> Column:
 
 
 def rounded(score: str) -> Column:
-    """Nearest whole number, halves to even."""
-    return F.bround(F.col(score)).cast("int")
+    """Nearest whole number, halves to even; NULL for NaN and NULL."""
+    s = F.col(score)
+    return F.when(~F.isnan(s), F.bround(s)).cast("int")
 
 
 def verdict(score: str, threshold: float = PAGE_THRESHOLD) -> Column:

@@ -19,11 +19,11 @@ SCORE_BLOCKS = 256
 def score_steps(rows: DataFrame, score: str, label: str, blocks: int = SCORE_BLOCKS) -> DataFrame:
     """One row per distinct score: positives and negatives there, below, in total.
 
-    Rows without a score or label cannot be judged and are left out. The counts
-    per score are stored, since the cut points and both totals read them.
+    Rows without a label, or with a NULL or NaN score, cannot be judged and are
+    left out. The counts per score are stored, since the cut points and both totals read them.
     """
     judged = rows.select(F.col(score).cast("double").alias("score"), F.col(label).alias("_label"))
-    judged = judged.where(F.col("score").isNotNull() & F.col("_label").isNotNull())
+    judged = judged.where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("_label").isNotNull())
     per_score = judged.groupBy("score").agg(
         F.count_if(F.col("_label") == 1).alias("pos"),
         F.count_if(F.col("_label") != 1).alias("neg"),
@@ -78,10 +78,13 @@ def pr_curve(rows: DataFrame, score: str, label: str) -> DataFrame:
 def score_distribution(rows: DataFrame, score: str, label: str, bins: int = 20) -> DataFrame:
     """Rows and density per label and score bin over 0..1; a score of 1 is in the last bin.
 
-    The density of a label integrates to 1 over its bins.
+    Scores below 0 count in the first bin and scores above 1 in the last; NULL
+    and NaN scores are left out. The density of a label integrates to 1 over its bins.
     """
-    bin_no = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")
-    counts = rows.groupBy(F.col(label).alias("label"), bin_no.alias("bin")).agg(
+    s = F.col(score).cast("double")
+    inside = F.greatest(F.least(F.floor(s * bins), F.lit(bins - 1)), F.lit(0))
+    bin_no = inside.cast("int")
+    counts = rows.where(s.isNotNull() & ~F.isnan(s)).groupBy(F.col(label).alias("label"), bin_no.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
     per_label = counts.groupBy(F.col("label").alias("_label")).agg(F.sum("n").alias("_total"))
     joined = counts.join(per_label, F.col("label").eqNullSafe(F.col("_label")))

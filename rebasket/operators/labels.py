@@ -12,8 +12,9 @@ LABEL = "reordered"
 
 
 def train_lines(order_products_train: DataFrame, orders: DataFrame) -> DataFrame:
-    """The lines of the train orders with their user."""
-    return order_products_train.join(orders.select("order_id", "user_id"), "order_id")
+    """The lines of the train orders with their user; other orders are not read."""
+    train = orders.where(F.col("eval_set") == "train").select("order_id", "user_id")
+    return order_products_train.join(train, "order_id")
 
 
 def candidate_orders(orders: DataFrame) -> DataFrame:

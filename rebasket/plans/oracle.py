@@ -131,6 +131,9 @@ _DECIDED = f"""decided as (
          else 'Customer is unlikely to buy this product!' end verdict
   from test)"""
 
+_GAPS = f"""case user_id % 7 when 0 then null when 1 then cast('nan' as double) when 2 then -0.2 when 3 then 1.3
+    else {_SCORE} end"""
+
 _REQUESTS = """requests as (
   select concat(o.user_id, ',', op.product_id) body
   from order_products op join i_orders o on op.order_id = o.order_id where o.eval_set <> 'prior'
@@ -247,6 +250,25 @@ from i_orders o left join order_products op on o.order_id = op.order_id where o.
             f"""select label, bin, n, n * 20 / cast(sum(n) over (partition by label) as double) density
 from (select reordered label, cast(least(floor({_SCORE} * 20), 19) as int) bin, count(*) n
       from train group by 1, 2)"""),
+        "roc_auc_gaps": _sql(
+            [*_TO_LABELLED, f"scored as (select {_GAPS} s, reordered y from train)",
+             "judged as (select s, y from scored where s is not null and not isnan(s))",
+             "ranked as (select y, rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0 r from judged)"],
+            "select count_if(y = 1) positives, count_if(y <> 1) negatives, "
+            "(sum(r) filter (where y = 1) - count_if(y = 1) * (count_if(y = 1) + 1) / 2.0) "
+            "/ (cast(count_if(y = 1) as double) * count_if(y <> 1)) auc from ranked"),
+        "score_distribution_gaps": _sql(
+            _TO_LABELLED,
+            f"""select label, bin, n, n * 20 / cast(sum(n) over (partition by label) as double) density
+from (select reordered label, cast(case when s < 0 then 0 when s >= 1 then 19 else floor(s * 20) end as int) bin, count(*) n
+      from (select reordered, {_GAPS} s from train) where s is not null and not isnan(s) group by 1, 2)"""),
+        "decide_gaps": _sql(
+            [*_TO_LABELLED, f"scored as (select user_id, product_id, order_id, {_GAPS} s from test)"],
+            """select user_id, product_id, order_id,
+  case when s > 0.21 and not isnan(s) then 1 else 0 end decision,
+  case when not isnan(s) then cast(round_even(case when isnan(s) then 0 else s end, 0) as int) end rounded,
+  case when s > 0.2 and not isnan(s) then 'Customer is likely to buy this product!'
+       else 'Customer is unlikely to buy this product!' end verdict from scored"""),
         "decide": _sql([*_TO_LABELLED, _DECIDED], "select * from decided"),
         "submission": _sql(
             [*_TO_LABELLED, _DECIDED],

@@ -108,6 +108,21 @@ def _decided(s: Shop) -> DataFrame:
     return submission.decide(scored)
 
 
+def _with_gaps(rows: DataFrame) -> DataFrame:
+    """The SQL score as ``prob``, for some users missing, not a number, below 0 or above 1."""
+    kind = F.col("user_id") % 7
+    gaps = (
+        F.when(kind == 0, F.lit(None)).when(kind == 1, float("nan")).when(kind == 2, -0.2).when(kind == 3, 1.3)
+        .otherwise(F.col(SCORE))
+    )
+    return rows.withColumn("prob", gaps.cast("double"))
+
+
+def _decided_gaps(s: Shop) -> DataFrame:
+    scored = _with_gaps(_test(s)).select("user_id", "product_id", "order_id", "prob")
+    return submission.decide(scored).drop("prob")
+
+
 SHRINKAGE = [0, 1, 2, 4]
 
 
@@ -258,6 +273,10 @@ def queries() -> dict[str, Query]:
         "pr_curve": _on_shop(lambda s: evaluate.pr_curve(_train(s), SCORE, labels.LABEL)),
         "score_distribution": _on_shop(
             lambda s: evaluate.score_distribution(_train(s), SCORE, labels.LABEL)),
+        "roc_auc_gaps": _on_shop(lambda s: evaluate.roc_auc(_with_gaps(_train(s)), "prob", labels.LABEL)),
+        "score_distribution_gaps": _on_shop(
+            lambda s: evaluate.score_distribution(_with_gaps(_train(s)), "prob", labels.LABEL)),
+        "decide_gaps": _on_shop(_decided_gaps),
         "decide": _on_shop(_decided),
         "submission": _on_shop(lambda s: submission.submission(_decided(s))),
         "tuning_results": tuning_results,

@@ -13,7 +13,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from rebasket.functions.decisions import SUBMISSION_THRESHOLD
-from rebasket.functions.keys import PAIR
 from rebasket.operators.evaluate import roc_auc
 from rebasket.operators.features import (
     derive_features,
@@ -37,8 +36,9 @@ from rebasket.operators.submission import decide, submission
 from rebasket.sources.files import export_csv, write_feature_store, write_prior
 
 
-def _write(rows: DataFrame, path: str) -> DataFrame:
-    rows.write.mode("overwrite").parquet(path)
+def _write(rows: DataFrame, path: str, *by: str) -> DataFrame:
+    """Store and read back; partitioned rows are gathered by their partition first."""
+    (rows.hint("rebalance", *by) if by else rows).write.mode("overwrite").partitionBy(*by).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -61,14 +61,17 @@ def build_features(orders: DataFrame, order_products: DataFrame, out: str) -> Da
 
 def train_model(matrix: DataFrame, orders: DataFrame, order_products_train: DataFrame, out: str,
                 params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
-    """Label, hold out, fit, save; returns the model and its AUC on the holdout."""
+    """Label, hold out, fit, save; returns the model and its AUC.
+
+    One half of the holdout tells the fit when to stop, the other half judges it.
+    """
     lines = train_lines(order_products_train, orders)
-    rows = _write(labelled(matrix, candidate_orders(orders), lines), f"{out}/labelled")
+    rows = _write(labelled(matrix, candidate_orders(orders), lines), f"{out}/labelled", "eval_set")
     kept, held = holdout(split_train_test(rows)[0])
-    model = fit(kept, params or SIMPLE_FIT, validation=held)
+    judge, stop = holdout(held, percent=50, seed=2)
+    model = fit(kept, params or SIMPLE_FIT, validation=stop)
     model.write().overwrite().save(f"{out}/model")
-    judged = score(model, held).join(held.select(*PAIR, "order_id", LABEL), [*PAIR, "order_id"])
-    return model, _write(roc_auc(judged, "prob", LABEL), f"{out}/evaluation")
+    return model, _write(roc_auc(score(model, judge, keep=[LABEL]), "prob", LABEL), f"{out}/evaluation")
 
 
 def recommend(spark: SparkSession, out: str, threshold: float = SUBMISSION_THRESHOLD) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 def discover(spark: SparkSession, root: str, suffix: str = "parquet") -> dict[str, str]:
     """Table name -> path of every file or folder of this format right under ``root``.
 
-    Spark lists the files and reads no content; only one row per table returns
-    to the driver.
+    Spark lists the files and reads no content; the name right under the root
+    is cut from the whole path of the root, and only distinct names return to
+    the driver.
     """
     files = (
         spark.read.format("binaryFile")
@@ -21,8 +23,10 @@ def discover(spark: SparkSession, root: str, suffix: str = "parquet") -> dict[st
         .load(root)
         .select("path")
     )
-    root_name = root.rstrip("/").rsplit("/", 1)[-1]
-    below = F.substring_index(F.col("path"), f"/{root_name}/", -1)
+    # Listed paths carry a scheme, the root may not: the root's first place in the path starts it.
+    name = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root.rstrip("/"))
+    start = F.instr(F.col("path"), f"{name}/") + F.lit(len(name) + 1)
+    below = F.expr("path").substr(start, F.length("path"))
     entry = F.substring_index(below, "/", 1).alias("entry")
     entries = [r.entry for r in files.select(entry).distinct().collect()]
     return {e.removesuffix(f".{suffix}"): f"{root.rstrip('/')}/{e}" for e in sorted(entries)}

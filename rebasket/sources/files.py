@@ -17,8 +17,12 @@ STORE = "user_id bigint, product_id bigint, feature string, user_bucket int"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    """Plain or gzip CSV under a fixed schema; a malformed row fails the job."""
-    return spark.read.csv(path, schema=schema, header=header, mode="FAILFAST")
+    """Plain or gzip CSV under a fixed schema; a malformed row fails the job.
+
+    So does a header whose names are not the schema's, in its order: columns are
+    never taken by position from a file that names them.
+    """
+    return spark.read.csv(path, schema=schema, header=header, mode="FAILFAST", enforceSchema=not header)
 
 
 def csv_to_parquet(spark: SparkSession, path: str, schema: str, out: str,

@@ -71,11 +71,20 @@ def score_requests(requests: DataFrame, store: DataFrame, model: PipelineModel,
 
 def score_vectors(requests: DataFrame, model: PipelineModel,
                   threshold: float = PAGE_THRESHOLD) -> DataFrame:
-    """Requests whose body is the packed vector itself."""
-    rows = requests.withColumns(unpack("body", FEATURES))
+    """Requests whose body is the packed vector itself.
+
+    A body with another number of fields, or with a field that is neither empty
+    nor a number, is a 'bad_request' and is not scored.
+    """
+    fields = F.split("body", ",")
+    odd = F.exists(fields, lambda f: (F.trim(f) != "") & F.coalesce(F.isnan(f.try_cast("double")), F.lit(True)))
+    bad = F.coalesce((F.size(fields) != len(FEATURES)) | odd, F.lit(True))
+    rows = requests.withColumns({**unpack("body", FEATURES), "status": F.when(bad, "bad_request").otherwise("ok")})
     scored = probability(model.transform(rows))
-    return scored.select("body", "prob", above("prob", threshold).alias("decision"),
-                         verdict("prob", threshold).alias("verdict"))
+    prob = F.when(F.col("status") == "ok", F.col("prob"))
+    return scored.select("body", "status", prob.alias("prob")).select(
+        "body", "status", "prob", above("prob", threshold).alias("decision"),
+        F.when(F.col("status") == "ok", verdict("prob", threshold)).alias("verdict"))
 
 
 def request_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:

@@ -89,3 +89,16 @@ def test_tuning_results_are_ordered_and_matched_by_key(spark):
     assert [tuple(r) for r in high.collect()] == [(1, 0.05, 0.9), (0, 0.1, 0.7), (2, 0.3, 0.7)]
     low = tuning_results(grid, metrics, ["row"], "auc", best_is="min")
     assert [tuple(r) for r in best(low).collect()] == [(0, 0.1, 0.7)]
+
+
+def test_gaps_in_scores_are_left_out(spark):
+    nan = float("nan")
+    frame = scored(spark, [(0.1, 0), (0.2, 1), (nan, 0), (None, 0), (-0.2, 0), (1.3, 1)])
+    assert roc_auc(frame, "s", "y").first().asDict() == {"positives": 2, "negatives": 2, "auc": 1.0}
+    found = score_distribution(frame, "s", "y", bins=20)
+    assert rows(found, "label", "bin", "n") == [(0, 0, 1), (0, 2, 1), (1, 19, 1), (1, 4, 1)]
+
+
+def test_decide_takes_nan(spark):
+    frame = spark.createDataFrame([(float("nan"),), (None,), (0.5,), (1.5,)], "prob double")
+    assert rows(decide(frame), "decision", "rounded") == [(0, None), (0, None), (1, 0), (1, 2)]

@@ -98,3 +98,16 @@ def test_feature_store_lookup_reads_few_buckets(spark, tiny):
 def test_scores_without_header(spark, tmp_path):
     (tmp_path / "scores.csv").write_text("0.25\n0.5\n")
     assert rows(files.read_scores(spark, str(tmp_path / "scores.csv"))) == [(0.25,), (0.5,)]
+
+
+def test_swapped_header_fails(spark, tmp_path):
+    spark.createDataFrame([(1, 2, "prior", 3, 4.0)], "user_id long, order_id long, eval_set string, order_number long, days double").write.csv(
+        str(tmp_path / "swapped"), header=True)
+    with pytest.raises(Exception, match="CSV header|headers"):
+        files.read_csv(spark, str(tmp_path / "swapped"), ORDERS).collect()
+
+
+def test_root_name_again_below_the_root(spark, tmp_path):
+    root = tmp_path / "shopx"
+    spark.range(3).write.parquet(str(root / "orders" / "shopx" / "part=1"))
+    assert catalog.discover(spark, str(root)) == {"orders": f"{root}/orders"}

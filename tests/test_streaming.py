@@ -135,3 +135,11 @@ def test_only_touched_buckets_are_rewritten(spark, tiny, tmp_path):
     assert {p.parent.name for p in after - before} == {"slot=1"}
     assert len({p.parent.parent.name for p in after - before}) == 1
     same(read_joined(spark, out), joined_features(tiny))
+
+
+def test_unreadable_vectors_are_not_scored(spark, model):
+    whole = ",".join(["1.0"] * len(FEATURES))
+    bodies = spark.createDataFrame([("abc",), ("1,2,3",), ("",), (None,), (whole,), (whole.replace("1.0", "x", 1),)], "body string")
+    found = {r.body: (r.status, r.prob is None, r.verdict is None) for r in score_vectors(bodies, model).collect()}
+    assert found.pop(whole) == ("ok", False, False)
+    assert set(found.values()) == {("bad_request", True, True)} and len(found) == 5
