@@ -162,7 +162,8 @@ def repeated_nodes(read: DataFrame) -> DataFrame:
     """rid, p, g, a, w: the nodes that occur twice or more, one text of equal words standing for all."""
     spread = read.select("rid", "sha", F.explode(F.arrays_zip("places", "nodes")).alias("x")).select(
         "rid", F.col("x.places").alias("place"), F.col("x.nodes").alias("a"))
-    often = spread.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("b")
+    # stored, so that the join starts from two plain shuffles and a hot node can be split
+    often = stored(spread.groupBy(F.col("a").alias("b")).agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("b"), "often")
     return spread.join(often, F.col("a") == F.col("b")).select(
         "rid", F.floor(F.col("place") / _LAST).cast("long").alias("p"), F.pmod("place", F.lit(_LAST)).alias("g"), "a")
 
@@ -183,13 +184,13 @@ def paths_of(occurrences: DataFrame) -> DataFrame:
         F.when(out, F.col("na")).alias("na"), F.when(out, F.col("g")).alias("g"),
         F.when(into, F.col("pa")).alias("pa"), F.when(into, F.col("pg")).alias("pg"),
     ), "linked")
-    edges = linked.filter(F.col("na").isNotNull()).groupBy(
+    edges = stored(linked.filter(F.col("na").isNotNull()).groupBy(
         F.col("a").alias("ea"), F.col("na").alias("eb"), F.col("g").alias("eg")
-    ).agg(F.sum("w").alias("times"), F.min("rid").alias("source")).filter(F.col("times") > 1).drop("times")
+    ).agg(F.sum("w").alias("times"), F.min("rid").alias("source")).filter(F.col("times") > 1).drop("times"), "edges")
     same = [F.min(c) == F.max(c) for c in ("na", "g", "pa", "pg")]
-    through = linked.groupBy(F.col("a").alias("through")).agg(
+    through = stored(linked.groupBy(F.col("a").alias("through")).agg(
         (same[0] & same[1] & same[2] & same[3] & (F.count("na") == F.count("*")) & (F.count("pa") == F.count("*"))).alias("ok")
-    ).filter("ok").select("through")
+    ).filter("ok").select("through"), "through")
     marked = linked.join(edges, (F.col("a") == F.col("ea")) & (F.col("na") == F.col("eb")) & (F.col("g") == F.col("eg"))).select(
         "rid", "p", "a", "g", "pa", (F.col("source") == F.col("rid")).alias("first"))
     marked = marked.join(through, F.col("a") == F.col("through"), "left")
@@ -236,7 +237,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         .select("rid", "weight", "at", "paths", "text"), "sources")
     windows = stored(
         sources.mapInArrow(_windows, "h1 long, h2 long, rid long, place long, weight long, open boolean"), "windows")
-    again = windows.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.sum("weight").alias("n")).filter(F.col("n") > 1)
+    again = stored(
+        windows.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.sum("weight").alias("n"))
+        .filter(F.col("n") > 1).select("g1", "g2"), "again")
     hits = windows.filter("open").join(again, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).groupBy(
         F.col("rid").alias("r")).agg(F.collect_list("place").alias("repeated"))
     cut = sources.filter(F.col("weight") == 1).join(hits, F.col("rid") == F.col("r"), "left").filter(
