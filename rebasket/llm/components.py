@@ -19,8 +19,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
             edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
     else:
         around = edges.select(F.col("u").alias("x"), F.col("v").alias("y"))  # u > v
-    least = around.groupBy(F.col("x").alias("of")).agg(F.min("y").alias("least")).select(
-        "of", F.least("of", "least").alias("least"))
+    # stored, so that the join starts from two plain shuffles and a hot node can be split
+    least = stored(around.groupBy(F.col("x").alias("of")).agg(F.min("y").alias("least")).select(
+        "of", F.least("of", "least").alias("least")), "least")
     met = around.join(least, F.col("x") == F.col("of"))
     if large:
         moved = met.filter(F.col("y") > F.col("x")).select(F.col("y").alias("u"), F.col("least").alias("v"))
