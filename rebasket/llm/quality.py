@@ -154,7 +154,8 @@ def gradient(net: Net, laid: np.ndarray, bounds: np.ndarray, label: np.ndarray)
     count = np.diff(limits)
     own = np.repeat(np.arange(len(count)), count)
     dc = db[own, :f] / count[own][:, None]
-    dc += np.where(chunk == top[own], db[own, f:], 0)
+    highest = chunk == top[own]  # chunks of equal height share the gradient
+    dc += highest * (db[:, f:] / np.add.reduceat(highest, limits[:-1], axis=0, dtype=np.int64))[own]
     dc *= chunk > 0
     g["shift"] = dc.sum(axis=0)
     left = high[first] >= high[second]

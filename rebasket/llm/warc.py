@@ -156,8 +156,9 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 run.append((
                     url_key(headers["WARC-Target-URI"]), headers["WARC-Date"], _number(headers["WARC-Record-ID"]),
                     headers["WARC-Type"], digest, size, _number(headers.get("WARC-Refers-To")), name, offset))
-            run.sort(key=order)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*run), _ENTRY)], schema=_ENTRY)
+            if run:
+                run.sort(key=order)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*run), _ENTRY)], schema=_ENTRY)
 
 
 def index_runs(spark: SparkSession, path: str) -> DataFrame:
