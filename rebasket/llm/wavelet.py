@@ -27,7 +27,7 @@ END_ID = 1
 SHARD_BYTES = 8 << 20  # of text, on average
 PART_TOKENS = 1 << 20
 BLOCK = 512  # bits
-_CACHE_PIECES = 500_000
+_CACHE_WORDS, _CACHE_PIECES = 1_500_000, 400_000
 _GAP = 0xFFFFFFFF  # stands between words
 _encoders: dict[str, "Encoder"] = {}
 
@@ -47,10 +47,10 @@ class Encoder:
 
     The tokenizer drops white space and never joins what it separates, so a
     text's ids are those of its words, and a word's are those of the pieces it is
-    split into. Each distinct word of a slice is looked at once. Pieces of plain
-    words (ASCII and the precomposed letters of Latin-1, whose normal form is
-    lower case) go to the tokenizer's model in batches, each ends with an id whose
-    token has the word-end suffix, and the ids of recent pieces are kept. Other
+    split into. The ids of recent words are kept by hash, so that only new words
+    are looked at. Pieces of plain words (ASCII and the precomposed letters of
+    Latin-1, whose normal form is lower case) go to the tokenizer's model in
+    batches, each ends with an id whose token has the word-end suffix. Other
     words go through the whole tokenizer.
     """
 
@@ -68,7 +68,13 @@ class Encoder:
         self.specials = tuple(t.content.encode() for t in self.whole.get_added_tokens_decoder().values())
         self.letters = _byte_letters()
         self.gap = {" ": np.array([_GAP], "<u4").tobytes()}
+        self._forget()
+
+    def _forget(self) -> None:
         self.pieces: dict[str, bytes] = dict(self.gap)
+        self.hashes = np.zeros(0, np.uint64)  # ascending, of the words known
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
 
     def _learn(self, pieces: list[str]) -> None:
         plain = [p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode())) for p in pieces]
@@ -104,48 +110,64 @@ class Encoder:
             out.append(np.array([_GAP], "<u4"))
         return np.concatenate(out[:-1])
 
-    def encode(self, part: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts of a binary slice, an end id after each, and the n ends."""
-        words = Words(part)
-        _, at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+    def _learn_words(self, words: Words, at: np.ndarray) -> None:
+        """Add the words at some places, ascending by hash, to those known."""
         length = words.ends[at] - words.starts[at]
-        # the distinct words, each followed by a space
+        # the words, each followed by a space
         bounds = np.concatenate([[0], np.cumsum(length + 1)])
         joined = np.full(int(bounds[-1]), 32, np.uint8)
-        shift = np.repeat(bounds[:-1] - words.starts[at], length)
-        source = np.arange(len(shift)) + np.repeat(words.starts[at] - (np.cumsum(length) - length), length)
-        joined[source + shift] = words.data[source]
+        source = np.arange(int(length.sum())) + np.repeat(words.starts[at] - (np.cumsum(length) - length), length)
+        joined[source + np.repeat(bounds[:-1] - words.starts[at], length)] = words.data[source]
         hard = _not_plain(joined, bounds)
-        for i in np.flatnonzero(np.add.reduceat(joined == 60, bounds[:-1])) if len(at) else ():
+        for i in np.flatnonzero(np.add.reduceat(joined == 60, bounds[:-1])):
             hard[i] |= any(s in joined[bounds[i]:bounds[i + 1]].tobytes() for s in self.specials)
-        order = np.concatenate([np.flatnonzero(~hard), np.flatnonzero(hard)])
+        gap = np.array([_GAP], "<u4")
         ids = []
         if not hard.all():
-            keep = np.repeat(~hard, length + 1)
-            ids += [self._plain(joined[keep][:-1].tobytes()), np.array([_GAP], "<u4")]
+            ids += [self._plain(joined[np.repeat(~hard, length + 1)][:-1].tobytes()), gap]
         if hard.any():
-            keep = np.repeat(hard, length + 1)
-            ids += [self._hard(joined[keep][:-1].tobytes().decode().split(" ")), np.array([_GAP], "<u4")]
-        flat = np.concatenate(ids) if ids else np.zeros(0, "<u4")
-        gaps = np.flatnonzero(flat == _GAP)
-        first, count = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-        first[order] = np.concatenate([[0], gaps[:-1] + 1]) if len(gaps) else 0
+            ids += [self._hard(joined[np.repeat(hard, length + 1)][:-1].tobytes().decode().split(" ")), gap]
+        new = np.concatenate(ids)
+        gaps = np.flatnonzero(new == _GAP)
+        order = np.concatenate([np.flatnonzero(~hard), np.flatnonzero(hard)])
+        first, count = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        first[order] = np.concatenate([[0], gaps[:-1] + 1])
         count[order] = gaps - first[order]
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(new), len(self.flat)), "<u4")])
+        self.flat[self.used:self.used + len(new)] = new
+        place = np.searchsorted(self.hashes, words.hashes[at])
+        self.hashes = np.insert(self.hashes, place, words.hashes[at])
+        self.first = np.insert(self.first, place, first + self.used)
+        self.count = np.insert(self.count, place, count)
+        self.used += len(new)
+
+    def encode(self, part: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a binary slice, an end id after each, and the n ends."""
+        words = Words(part)
+        distinct, at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > _CACHE_WORDS:
+            self._forget()
+        place = np.searchsorted(self.hashes, distinct)
+        new = np.append(self.hashes, np.uint64(0))[place] != distinct
+        new |= place == len(self.hashes)
+        if new.any():
+            self._learn_words(words, at[new])
+            place = np.searchsorted(self.hashes, distinct)
         # every word's ids, then the ends
-        counts = count[which]
+        place = place[which]
+        counts = self.count[place]
         places = np.concatenate([[0], np.cumsum(counts)])
         ends = places[words.bounds[1:]] + np.arange(1, len(part) + 1)
         out = np.full(int(places[-1]) + len(part), end, "<u4")
-        source = np.arange(int(places[-1])) + np.repeat(first[which] - places[:-1], counts)
+        source = np.arange(int(places[-1])) + np.repeat(self.first[place] - places[:-1], counts)
         text = np.repeat(np.arange(len(part)), places[words.bounds[1:]] - places[words.bounds[:-1]])
-        out[np.arange(len(source)) + text] = flat[source]
+        out[np.arange(len(source)) + text] = self.flat[source]
         return out, ends
 
 
 def _not_plain(joined: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Words with other characters than visible ASCII and the precomposed letters of Latin-1."""
-    if not len(joined):
-        return np.zeros(0, bool)
     after = np.append(joined[1:], 32)
     before = np.append(32, joined[:-1])
     lead = (joined == 0xC3) & (after != 0x97) & (after != 0xB7)
@@ -213,7 +235,7 @@ class WaveletMatrix:
         for b in range(planes - 1, -1, -1):
             flags = (ids >> ids.dtype.type(b)) & ids.dtype.type(1) == 1
             out.append(Plane.rows(flags))
-            ids = np.concatenate([ids[~flags], ids[flags]])
+            ids = np.concatenate([np.compress(~flags, ids), np.compress(flags, ids)])
         return out
 
     def access(self, i: int) -> int:
@@ -255,8 +277,8 @@ class WaveletMatrix:
             p = self.planes[depth]
             flags = p.flags()
             out = np.empty_like(ids)
-            out[~flags] = ids[:p.zeros]
-            out[flags] = ids[p.zeros:]
+            out[np.flatnonzero(~flags)] = ids[:p.zeros]
+            out[np.flatnonzero(flags)] = ids[p.zeros:]
             out |= flags.astype(kind) << kind(len(self.planes) - 1 - depth)
             ids = out
         return ids
