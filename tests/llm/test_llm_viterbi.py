@@ -1,0 +1,104 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+from odd_rows import empty, odd, plain
+
+from rebasket.llm import viterbi
+from rebasket.llm.viterbi import SPACE, Pieces
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+pieces = Pieces(PATH)
+
+
+def ids_of(text):
+    return np.frombuffer(pieces.encode(text), "<u4")
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_round_trip(text):
+    assert pieces.decode(ids_of(text)) == text
+
+
+def best_score(text):
+    """The highest sum of scores, by a plain search over all boundaries."""
+    best = [0.0] + [-1e30] * len(text)
+    for j in range(1, len(text) + 1):
+        for i in range(max(0, j - pieces.longest), j):
+            gain = pieces.scores.get(text[i:j], pieces.unknown if j == i + 1 else None)
+            if gain is not None:
+                best[j] = max(best[j], best[i] + gain)
+    return best[-1]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="theand ofiñ漢\n", min_size=1, max_size=90))
+def test_scores_are_the_highest(text):
+    known = {i: p for p, i in pieces.ids.items()}
+    found = ids_of(text).tolist()
+    score, byte = 0.0, 0
+    for i in found:
+        if i in known:
+            score += pieces.scores[known[i]]
+        else:
+            byte += 1
+            score += pieces.unknown if byte and pieces.bytes_of[i][0] & 0xC0 != 0x80 else 0.0
+    assert score == pytest.approx(best_score(" ".join(["", text]).replace(" ", SPACE)))
+
+
+def as_unigram(data):
+    """The model with its type set to unigram, so that the library searches by score."""
+    def number(at):
+        value = shift = 0
+        while True:
+            value |= (data[at] & 127) << shift
+            shift, at = shift + 7, at + 1
+            if data[at - 1] < 128:
+                return value, at
+
+    out, at = b"", 0
+    while at < len(data):
+        tag, start = number(at)
+        size, body = number(start)
+        part = data[body:body + size]
+        if tag >> 3 == 2:  # the trainer's settings; the last value of field 3 counts
+            part += b"\x18\x01"
+        head = b""
+        n = len(part)
+        while n >= 128:
+            head, n = head + bytes([n & 127 | 128]), n >> 7
+        out += data[at:start] + head + bytes([n]) + part
+        at = body + size
+    return out
+
+
+def test_no_worse_than_the_librarys_search_by_score():
+    """The library's own search over the same scores, which it sums in single precision, is never ahead."""
+    library = sentencepiece.SentencePieceProcessor(model_proto=as_unigram(open(PATH, "rb").read()))
+    score = {i: pieces.scores[p] for p, i in pieces.ids.items()}
+    draw = random.Random(4)
+    for _ in range(400):
+        text = " ".join("".join(draw.choices(["the", "ing", "er", "and", "on", "le", "ñ", "x"], k=draw.randint(1, 5))) for _ in range(6))
+        assert sum(score[i] for i in ids_of(text).tolist()) >= sum(score[i] for i in library.encode(text))
+
+
+def test_stream_commits_before_the_end_and_equals_the_whole():
+    text = (SPACE + "the" + SPACE + "international") * 500
+    parts = list(pieces.stream(iter(text)))
+    assert len(parts) > 50 and max(map(len, parts)) < 100
+    assert [i for p in parts for i in p] == ids_of(text.replace(SPACE, " ")[1:]).tolist()
+    for hard in ("a" * 3000, " " * 3000, "ab" * 2000, "漢" * 300):
+        assert pieces.decode(ids_of(hard)) == hard
+
+
+def test_odd_rows_and_empty_tables(spark):
+    found = viterbi.encode_texts(odd(spark), PATH, ["doc_id", "n"]).collect()
+    assert all(r.round_trip and r.n_ids == len(r.ids) for r in found)
+    expected = sorted((repr(r.doc_id), zlib.crc32(pieces.encode(r.text or ""))) for r in odd(spark).collect())
+    assert sorted((repr(r.doc_id), r.ids_crc32) for r in found) == expected
+    assert plain(viterbi.encode_texts(empty(spark), PATH, ["doc_id"])) == []
