@@ -284,4 +284,6 @@ from (select reordered label, cast(case when s < 0 then 0 when s >= 1 then 19 el
         "request_lookup": lookup,
         "request_lookup_stream": lookup,
         "refresh_on_arrival": _sql(_TO_JOINED, "select * from joined"),
+        "refresh_redelivered": _sql(_TO_JOINED, "select * from joined"),
+        "refresh_closed_orders": _sql(_TO_JOINED, "select * from joined"),
     }

@@ -176,7 +176,8 @@ def tune_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _third(landed: DataFrame) -> int:
     """A third of the landed files, so that a stream over them takes three batches."""
-    return -(-len(landed.inputFiles()) // 3)
+    files_landed = landed.select(F.input_file_name().alias("f")).distinct().count()
+    return max(1, -(-files_landed // 3))
 
 
 def request_bodies(s: Shop) -> DataFrame:
@@ -230,12 +231,49 @@ def refresh_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All order lines landed as files, refreshed in three micro-batches; the joined features."""
     s = shop(spark, sf_dir)
     base = fresh_path(spark, "refresh")
-    landed = prior.orders_with_lines(s.orders, s.order_products, eval_set=None)
-    landed.write.parquet(f"{base}/landing")
+    _land(prior.orders_with_lines(s.orders, s.order_products, eval_set=None), f"{base}/landing")
+    _arrive(spark, base, _third(spark.read.parquet(f"{base}/landing")))
+    return refresh.read_joined(spark, f"{base}/out")
+
+
+def _land(rows: DataFrame, landing: str) -> None:
+    """Files of whole orders."""
+    rows.hint("rebalance", "order_id").write.mode("append").parquet(landing)
+
+
+def _arrive(spark: SparkSession, base: str, files_per_batch: int | None = None) -> None:
     refresh.refresh_on_arrival(
-        spark, f"{base}/landing", f"{base}/state", f"{base}/out", buckets=16,
-        files_per_batch=_third(spark.read.parquet(f"{base}/landing")),
-    ).awaitTermination()
+        spark, f"{base}/landing", f"{base}/state", f"{base}/out", buckets=16, files_per_batch=files_per_batch).awaitTermination()
+
+
+def refresh_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth user's orders land twice, in one batch and again in a later one, around a compaction."""
+    s = shop(spark, sf_dir)
+    base = fresh_path(spark, "redelivered")
+    landed = prior.orders_with_lines(s.orders, s.order_products, eval_set=None)
+    again = landed.where(F.col("user_id") % 5 == 0)
+    _land(landed, f"{base}/landing")
+    _land(again, f"{base}/landing")
+    _arrive(spark, base)
+    refresh.compact(spark, f"{base}/out", buckets=16)
+    _land(again, f"{base}/landing")
+    _arrive(spark, base)
+    return refresh.read_joined(spark, f"{base}/out")
+
+
+def refresh_closed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's last prior order lands as the open one first, and lands again closed with the next one."""
+    s = shop(spark, sf_dir)
+    base = fresh_path(spark, "closed")
+    landed = prior.orders_with_lines(s.orders, s.order_products, eval_set=None)
+    closing = s.orders.where(F.col("eval_set") == "prior").groupBy("user_id").agg(F.max("order_number").alias("closing"))
+    dated = landed.join(closing, "user_id", "left")
+    last = F.col("order_number") == F.col("closing")
+    before = dated.where(F.col("eval_set") == "prior").withColumn("eval_set", F.when(last, "train").otherwise(F.col("eval_set")))
+    _land(before.select(landed.columns), f"{base}/landing")
+    _arrive(spark, base)
+    _land(dated.where(last | (F.col("eval_set") != "prior")).select(landed.columns), f"{base}/landing")
+    _arrive(spark, base)
     return refresh.read_joined(spark, f"{base}/out")
 
 
@@ -292,4 +330,6 @@ def queries() -> dict[str, Query]:
         "request_lookup_stream": request_lookup_stream,
         "score_requests": score_requests,
         "refresh_on_arrival": refresh_on_arrival,
+        "refresh_redelivered": refresh_redelivered,
+        "refresh_closed_orders": refresh_closed_orders,
     }

@@ -77,7 +77,7 @@ def score_vectors(requests: DataFrame, model: PipelineModel,
     nor a number, is a 'bad_request' and is not scored.
     """
     fields = F.split("body", ",")
-    odd = F.exists(fields, lambda f: (F.trim(f) != "") & F.coalesce(F.isnan(f.try_cast("double")), F.lit(True)))
+    odd = F.exists(fields, lambda f: (F.trim(f) != "") & (f.try_cast("double").isNull() | F.isnan(f.try_cast("double"))))
     bad = F.coalesce((F.size(fields) != len(FEATURES)) | odd, F.lit(True))
     rows = requests.withColumns({**unpack("body", FEATURES), "status": F.when(bad, "bad_request").otherwise("ok")})
     scored = probability(model.transform(rows))

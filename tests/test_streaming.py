@@ -78,7 +78,7 @@ def test_refresh_over_pieces_equals_batch(spark, tiny):
     landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
     # Orders arrive out of order: the later half of each history first.
     late = F.col("order_number") <= 5
-    landed.where(~late).repartition(2).write.parquet(f"{base}/landing")
+    landed.where(~late).repartition(2, "order_id").write.parquet(f"{base}/landing")
     refresh_on_arrival(spark, f"{base}/landing", f"{base}/state", f"{base}/out", buckets=4,
                        files_per_batch=1).awaitTermination()
     landed.where(late).coalesce(1).write.mode("append").parquet(f"{base}/landing")
@@ -106,14 +106,14 @@ def test_batch_cut_off_before_its_note_is_not_seen(spark, tiny, monkeypatch):
     refresh(landed.where(~late), 0, out, buckets=4)
     before = rows(read_joined(spark, out))
 
-    write = refresh_module._replace_partitions
+    write = refresh_module._write
 
-    def fail_at_pairs(frame, path, by):
-        if path.endswith("pair_counts"):
+    def fail_at_pairs(frame, path, by=None):
+        if "/pair_counts/" in path:
             raise RuntimeError("lost")
         write(frame, path, by)
 
-    monkeypatch.setattr(refresh_module, "_replace_partitions", fail_at_pairs)
+    monkeypatch.setattr(refresh_module, "_write", fail_at_pairs)
     with pytest.raises(RuntimeError, match="lost"):
         refresh(landed.where(late), 1, out, buckets=4)
     assert rows(read_joined(spark, out)) == before
@@ -122,18 +122,54 @@ def test_batch_cut_off_before_its_note_is_not_seen(spark, tiny, monkeypatch):
     same(read_joined(spark, out), joined_features(tiny))
 
 
-def test_only_touched_buckets_are_rewritten(spark, tiny, tmp_path):
-    out = str(tmp_path / "out")
+@pytest.mark.parametrize("buckets", [1, 8, 64])
+def test_only_the_batchs_users_are_written(spark, small, buckets):
+    out = fresh_path(spark, "few")
+    landed = orders_with_lines(small.orders, small.order_products, eval_set=None)
+    late = (F.col("user_id") % 100 == 0) & (F.col("order_number") > 1)
+    refresh(landed.where(~late), 0, out, buckets=buckets)
+    refresh(landed.where(late), 1, out, buckets=buckets)
+    written = {n: spark.read.parquet(f"{out}/{n}/upto=-1/step=1").count() for n in refresh_module.TABLES}
+    whole = {n: spark.read.parquet(f"{out}/{n}/upto=-1/step=0").count() for n in refresh_module.TABLES}
+    assert all(0 < written[n] < 0.02 * whole[n] for n in written)
+    same(read_joined(spark, out), joined_features(small))
+
+
+def test_newest_delivery_of_an_order_counts(spark, tiny):
+    out = fresh_path(spark, "newest")
     landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
-    user = tiny.orders.first().user_id
-    late = (F.col("user_id") == user) & (F.col("order_number") > 1)
-    refresh(landed.where(~late), 0, out, buckets=8)
-    before = set((tmp_path / "out/up_features").rglob("*.parquet"))
-    refresh(landed.where(late), 1, out, buckets=8)
-    after = set((tmp_path / "out/up_features").rglob("*.parquet"))
-    assert before < after
-    assert {p.parent.name for p in after - before} == {"slot=1"}
-    assert len({p.parent.parent.name for p in after - before}) == 1
+    user = tiny.orders.where("eval_set = 'prior'").first().user_id
+    before = {r.product_id: r.up_orders for r in joined_features(tiny).where(F.col("user_id") == user).collect()}
+    refresh(landed.unionByName(landed.where(F.col("user_id") == user)), 0, out, buckets=4)
+    refresh(landed.where(F.col("user_id") == user), 1, out, buckets=4)
+    same(read_joined(spark, out), joined_features(tiny))
+    # one order comes again without its lines, another open and closed in one batch
+    mine = landed.where((F.col("user_id") == user) & (F.col("eval_set") == "prior") & F.col("product_id").isNotNull())
+    first = mine.orderBy("order_number").first()
+    nothing = {c: F.lit(None).cast(dict(landed.dtypes)[c]) for c in ("product_id", "add_to_cart_order", "reordered")}
+    emptied = mine.where(F.col("order_id") == first.order_id).withColumns(nothing).distinct()
+    both = mine.where(F.col("order_id") != first.order_id)
+    refresh(emptied.unionByName(both).unionByName(both.withColumn("eval_set", F.lit("train"))), 2, out, buckets=4)
+    gone = [r.product_id for r in mine.where(F.col("order_id") == first.order_id).collect()]
+    for product in gone:
+        before[product] -= 1
+    found = {r.product_id: r.up_orders for r in read_joined(spark, out).where(F.col("user_id") == user).collect()}
+    assert found == {p: n for p, n in before.items() if n}
+
+
+def test_compaction_keeps_what_readers_see(spark, tiny):
+    out = fresh_path(spark, "compact")
+    landed = orders_with_lines(tiny.orders, tiny.order_products, eval_set=None)
+    late = F.col("order_number") > 4
+    assert refresh_module.compact(spark, out, buckets=4) == -1
+    refresh(landed.where(~late), 0, out, buckets=4)
+    refresh(landed.where(late & (F.col("user_id") % 3 == 0)), 1, out, buckets=4)
+    before = rows(read_joined(spark, out))
+    assert refresh_module.compact(spark, out, buckets=4) == 1
+    assert rows(read_joined(spark, out)) == before
+    refresh(landed.where(~late), 0, out, buckets=4)  # a late replay of a folded batch
+    assert refresh_module.compact(spark, out, buckets=4) == 1 and rows(read_joined(spark, out)) == before
+    refresh(landed.where(late & (F.col("user_id") % 3 > 0)), 2, out, buckets=4)
     same(read_joined(spark, out), joined_features(tiny))
 
 
