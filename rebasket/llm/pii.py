@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import binary_column, raw, slices
+from .text import binary_column, lowest, raw, slices
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_ATOMS = 24
@@ -416,10 +416,10 @@ def _find(weights: np.ndarray):
 
 
 def train(docs: DataFrame, fit: Fit = Fit()) -> np.ndarray:
-    """Fit on the ``fit.texts`` texts with a digit or @, of at most ``fit.most_bytes``, whose hashes are least."""
-    texts = docs.select(F.col("text").cast("string").alias("text")).filter(
+    """Fit on at most ``fit.texts`` texts with a digit or @, of at most ``fit.most_bytes``, by least hash."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(
         (F.octet_length("text") <= fit.most_bytes) & F.col("text").rlike("[0-9@]"))
-    rows = texts.orderBy(F.xxhash64("text"), "text").limit(fit.texts).collect()
+    rows = lowest(texts, F.xxhash64("doc_id", "text"), fit.texts, texts.count()).collect()
     return fitted([r["text"] for r in rows], fit)
 
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import binary_column, free_name, raw, slices
+from .text import binary_column, free_name, lowest, raw, slices
 
 FILTER = 8
 STRIDE = 2
@@ -218,17 +218,19 @@ def known_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def sample(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
+def label_counts(labels: DataFrame) -> dict[int, int]:
+    """Number of labelled documents whose fold is not 1, by label."""
+    return {r["quality"]: r["n"] for r in known_labels(labels).groupBy("quality").agg(F.count("*").alias("n")).collect()}
+
+
+def sample(docs: DataFrame, labels: DataFrame, counts: dict[int, int], fit: Fit = Fit()) -> DataFrame:
     """id, text, quality: the texts to fit on, at most ``per_label`` of each label.
 
     The chosen ids are bounded by ``per_label``, so they can be broadcast.
     """
     known = known_labels(labels)
-    spread = F.xxhash64("doc_id")
-    chosen = None
-    for label in (0, 1):
-        part = known.filter(F.col("quality") == label).orderBy(spread, "doc_id").limit(fit.per_label)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    chosen = lowest(known.filter(F.col("quality") == 0), F.xxhash64("doc_id"), fit.per_label, counts.get(0, 0)).unionByName(
+        lowest(known.filter(F.col("quality") == 1), F.xxhash64("doc_id"), fit.per_label, counts.get(1, 0)))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).filter(
         F.octet_length("text") <= fit.most_bytes)
     return texts.join(F.broadcast(chosen), F.col("id") == F.col("doc_id")).select("id", "text", "quality")
@@ -239,12 +241,12 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Net:
 
     Rows of one id beyond ``2 * per_label`` are left to scoring.
     """
-    rows = sample(docs, labels, fit).orderBy(F.xxhash64("id"), "id", "text").limit(2 * fit.per_label).collect()
+    counts = label_counts(labels)
+    rows = sample(docs, labels, counts, fit).orderBy(F.xxhash64("id"), "id", "text").limit(2 * fit.per_label).collect()
     net = fitted([r["text"].encode() for r in rows], [r["quality"] for r in rows], fit)
-    share = {r["quality"]: r["n"] for r in known_labels(labels).groupBy("quality").agg(F.count("*").alias("n")).collect()}
     good = sum(r["quality"] for r in rows)
     if 0 < good < len(rows):
-        net.w["last_shift"] += np.float32(np.log(share[1] / share[0]) - np.log(good / (len(rows) - good)))
+        net.w["last_shift"] += np.float32(np.log(counts[1] / counts[0]) - np.log(good / (len(rows) - good)))
     return net
 
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 SLICE_BYTES = 2 << 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +57,17 @@ def free_name(taken: list[str], name: str) -> str:
     return name
 
 
+def lowest(rows: DataFrame, spread: Column, most: int, total: int) -> DataFrame:
+    """About the ``most`` rows of least ``spread``, a hash, at most ``most``; in its order.
+
+    The hash decides which rows can be among them before any task sorts, so what
+    all tasks send on stays near ``most`` rows, however many tasks there are.
+    """
+    share = min(1.0, (most + 4 * most ** 0.5) / max(total, 1))
+    few = rows if share == 1 else rows.filter(F.pmod(spread, F.lit(1 << 30)) < int(share * (1 << 30)))
+    return few.orderBy(F.pmod(spread, F.lit(1 << 30)), *rows.columns).limit(most)
+
+
 def binary_column(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """The column as one array of 64-bit offset binary; null texts become empty."""
     if isinstance(column, pa.ChunkedArray):
