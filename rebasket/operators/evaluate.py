@@ -1,7 +1,8 @@
 """AUC, ROC, precision-recall and score distribution.
 
 Rows are first summed per distinct score. The running counts over the scores
-use quantile blocks, so no task sees the whole score range.
+use ranges whose number follows the distinct scores, so no task sees the whole
+score range.
 """
 
 from __future__ import annotations
@@ -9,14 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebasket.operators.running import running_totals
+from rebasket.operators.running import ROWS_PER_BLOCK, range_blocks, running_totals
 from rebasket.session import stored
 
-# Ranges the distinct scores are cut into.
-SCORE_BLOCKS = 256
 
-
-def score_steps(rows: DataFrame, score: str, label: str, blocks: int = SCORE_BLOCKS) -> DataFrame:
+def score_steps(rows: DataFrame, score: str, label: str, per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """One row per distinct score: positives and negatives there, below, in total.
 
     Rows without a label, or with a NULL or NaN score, cannot be judged and are
@@ -28,12 +26,8 @@ def score_steps(rows: DataFrame, score: str, label: str, blocks: int = SCORE_BLO
         F.count_if(F.col("_label") == 1).alias("pos"),
         F.count_if(F.col("_label") != 1).alias("neg"),
     )
-    per_score = stored(per_score, "score-counts")
-    cuts = [i / blocks for i in range(1, blocks)]
-    bounds = per_score.agg(F.percentile_approx("score", cuts)).scalar()
-    block = F.size(F.filter("_bounds", lambda bound: bound < F.col("score")))
-    steps = per_score.withColumn("_bounds", bounds)
-    return running_totals(steps, [], block, ["score"], ["pos", "neg"]).drop("_bounds")
+    per_score = range_blocks(stored(per_score, "score-counts"), ["score"], "score-blocks", per_block)
+    return running_totals(per_score, [], F.col("block"), ["score"], ["pos", "neg"]).drop("block")
 
 
 def roc_auc(rows: DataFrame, score: str, label: str) -> DataFrame:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rebasket.functions.keys import PAIR
 from rebasket.functions.ratios import CONSUMED, ratio_columns
-from rebasket.operators.running import running_totals, split_hot
+from rebasket.operators.running import running_totals
 
-# A user-product pair with more rows than this is numbered block by block.
-HOT_PAIR_ROWS = 1_000_000
-# Order numbers per block when a pair is numbered that way.
+# Order numbers per block when the lines of a pair are ranked.
 ORDERS_PER_BLOCK = 65_536
 
 
@@ -45,27 +45,22 @@ def up_features(prior: DataFrame) -> DataFrame:
     )
 
 
-def product_seq_time(prior: DataFrame, hot_pair_rows: int = HOT_PAIR_ROWS,
-                     orders_per_block: int = ORDERS_PER_BLOCK) -> DataFrame:
+def product_seq_time(prior: DataFrame, orders_per_block: int = ORDERS_PER_BLOCK) -> DataFrame:
     """Every prior line with its purchase number for this user and product.
 
     The number is a rank: lines of one order number tie and the next one skips.
-    Pairs of up to ``hot_pair_rows`` rows use the window. Larger pairs are first
-    counted per order number, which removes the ties, then ranked in blocks of
-    order numbers, and the rank is joined back to the lines.
+    Lines are counted per order number, which removes the ties, ranked in blocks
+    of order numbers, and the rank is joined back to the lines; so no task holds
+    all lines, or all orders, of a pair.
     """
-    ordinary, hot = split_hot(prior, PAIR, hot_pair_rows)
-    by_order = Window.partitionBy(*PAIR).orderBy("order_number")
-    ranked = ordinary.withColumn("product_seq_time", F.rank().over(by_order).cast("bigint"))
-
     # -1 stands for a missing order number, which sorts first.
-    hot = hot.withColumn("_order", F.coalesce("order_number", F.lit(-1)))
-    steps = hot.groupBy(*PAIR, "_order").agg(F.count(F.lit(1)).alias("n"))
+    lines = prior.withColumn("_order", F.coalesce("order_number", F.lit(-1)))
+    steps = lines.groupBy(*PAIR, "_order").agg(F.count(F.lit(1)).alias("n"))
     block = F.floor(F.col("_order") / F.lit(orders_per_block))
-    steps = running_totals(steps, PAIR, block, ["_order"], ["n"])
-    steps = steps.select(*PAIR, "_order", (F.col("n_before") + 1).alias("product_seq_time"))
-    hot_ranked = hot.join(steps, [*PAIR, "_order"]).drop("_order")
-    return ranked.unionByName(hot_ranked)
+    steps = running_totals(steps, PAIR, block, ["_order"], ["n"]).select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*PAIR, "_order"]], (F.col("n_before") + 1).alias("product_seq_time"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*PAIR, "_order"]])
+    return lines.join(steps, same).select(*prior.columns, F.col("product_seq_time").cast("bigint"))
 
 
 def prd_features(prior: DataFrame, within: list[str] | None = None) -> DataFrame:

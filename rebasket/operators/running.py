@@ -1,4 +1,4 @@
-"""Running totals and splits that hold when one group is very large.
+"""Running totals that hold when one group is very large.
 
 A plain window sends a whole group to one task. Here the rows of a group are
 cut into ordered blocks: totals inside a block come from a window over the
@@ -7,9 +7,16 @@ block, totals of the blocks before it from a window over one row per block.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rebasket.session import stored
+
+# Rows of a block of ``range_blocks``: what a window sorts in one task.
+ROWS_PER_BLOCK = 500_000
+
 
 def running_totals(
     rows: DataFrame,
@@ -22,7 +29,8 @@ def running_totals(
 
     ``<w>_before`` sums the weight over the rows of the same key that come
     earlier in ``order``; ``<w>_total`` sums it over the key. ``block`` must not
-    decrease along ``order``, and ``keys``, ``block`` and ``order`` hold no NULL.
+    decrease along ``order``; NULL is a key like any other, ``block`` and ``order``
+    hold no NULL.
     """
     rows = rows.withColumn("_block", block)
     part = [*keys, "_block"]
@@ -40,25 +48,20 @@ def running_totals(
     within = rows.withColumns(
         {f"_{w}_inside": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights}
     )
-    joined = within.join(blocks, part)
+    other = blocks.select(*[F.col(c).alias(f"_of_{c}") for c in part], *[c for c in blocks.columns if c not in part])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in part])
+    joined = within.join(other, same)
     return joined.withColumns(
         {f"{w}_before": F.col(f"_{w}_earlier") + F.col(f"_{w}_inside") for w in weights}
-    ).drop("_block", *[f"_{w}_{s}" for w in weights for s in ("earlier", "inside")])
-
-
-# No more than this many keys are ever treated as hot, however many rows there are.
-MOST_HOT_KEYS = 100_000
+    ).drop("_block", *[f"_of_{c}" for c in part], *[f"_{w}_{s}" for w in weights for s in ("earlier", "inside")])
 
 
-def split_hot(rows: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key has at most ``limit`` rows, and the rows of larger keys.
+def range_blocks(rows: DataFrame, order: list[str], name: str, per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """The rows, stored, with ``block``: numbers that ascend along ``order``.
 
-    On large inputs the limit grows to rows / MOST_HOT_KEYS. Fewer than
-    MOST_HOT_KEYS keys can exceed that, so the list of hot keys has a fixed
-    bound and is broadcast. Rows with a NULL key stay on the first side.
+    Blocks are ranges of about ``per_block`` rows that Spark cuts at sampled
+    quantiles of the order columns, so their number follows the rows.
     """
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    limit_now = F.greatest(F.lit(float(limit)), total / F.lit(MOST_HOT_KEYS))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = F.broadcast(counts.where(F.col("_rows") > limit_now).select(*keys))
-    return rows.join(hot, keys, "left_anti"), rows.join(hot, keys, "left_semi")
+    blocks = max(1, -(-rows.count() // per_block))
+    ranged = rows.repartitionByRange(blocks, *order) if blocks > 1 else rows.coalesce(1)
+    return stored(ranged.withColumn("block", F.spark_partition_id()), name)

@@ -93,8 +93,8 @@ def product_seq_time_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_seq_time_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same ranks with every pair of three or more lines on the way for hot pairs."""
-    return features.product_seq_time(_repeats(spark, sf_dir), hot_pair_rows=2, orders_per_block=4)
+    """The same ranks with the order numbers of a pair cut into small blocks."""
+    return features.product_seq_time(_repeats(spark, sf_dir), orders_per_block=4)
 
 
 def prd_features_ties(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rebasket.operators.prior import order_products_prior
-from rebasket.operators.running import running_totals
+from rebasket.operators.running import range_blocks, running_totals
 from rebasket.session import shared_dir
 from rebasket.sources.files import write_prior
 from rebasket.sources.schemas import ORDER_LINES, ORDER_PRODUCTS, ORDERS, PRODUCTS
@@ -37,8 +37,8 @@ class Shop:
 def derive_products(part: DataFrame) -> DataFrame:
     """Part names numbered in name order; aisle and department are their words."""
     names = part.select(F.col("p_name").alias("product_name")).distinct().withColumn("one", F.lit(1))
-    prefix = F.substring("product_name", 1, 2)
-    numbered = running_totals(names, [], prefix, ["product_name"], ["one"])
+    names = range_blocks(names, ["product_name"], "product-names")
+    numbered = running_totals(names, [], F.col("block"), ["product_name"], ["one"])
     return numbered.select(
         (F.col("one_before") + 1).cast("bigint").alias("product_id"),
         "product_name",
@@ -50,8 +50,9 @@ def derive_products(part: DataFrame) -> DataFrame:
 def derive_orders(raw: DataFrame) -> DataFrame:
     """Order numbers, days since the previous order and the eval set per user.
 
-    Numbered day by day, so a user with very many orders is spread over tasks;
-    only one row per user and day meets in the window over a user.
+    Numbered in ranges of (user, date, order), so a user with very many orders,
+    or with very many on one day, is spread over tasks; only one row per user and
+    day meets in the window over a user.
     """
     rows = raw.select(
         F.col("o_orderkey").alias("order_id"),
@@ -65,7 +66,8 @@ def derive_orders(raw: DataFrame) -> DataFrame:
     previous = F.lag("day").over(Window.partitionBy("user_id").orderBy("day"))
     days = days.withColumn("gap", F.datediff("day", previous))
 
-    numbered = running_totals(rows, ["user_id"], F.col("day"), ["o_orderdate", "order_id"], ["one"])
+    ranged = range_blocks(rows, ["user_id", "o_orderdate", "order_id"], "order-ranges")
+    numbered = running_totals(ranged, ["user_id"], F.col("block"), ["o_orderdate", "order_id"], ["one"])
     number = F.col("one_before") + 1
     open_set = F.when(F.col("user_id") % 4 < 3, "train").otherwise("test")
     gap = F.when(F.col("order_id") == F.col("first_id"), F.col("gap")).otherwise(0)

@@ -53,7 +53,7 @@ def test_hot_pairs_get_the_same_ranks(spark):
     prior = prior_of(spark, lines)
     plain = rows(product_seq_time(prior), "order_id", "product_seq_time")
     for block in (1, 3, 1000):
-        hot = product_seq_time(prior, hot_pair_rows=1, orders_per_block=block)
+        hot = product_seq_time(prior, orders_per_block=block)
         assert rows(hot, "order_id", "product_seq_time") == plain
 
 

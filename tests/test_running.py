@@ -1,10 +1,11 @@
 import random
 
+from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rebasket.operators.running import running_totals, split_hot
+from rebasket.operators.running import range_blocks, running_totals
 
 pairs = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 30), st.integers(0, 5)), min_size=1, max_size=40)
 
@@ -32,10 +33,17 @@ def test_no_key_is_one_group(spark):
     assert got == {n: (i, 50) for i, n in enumerate(sorted(numbers))}
 
 
-def test_split_keeps_every_row_once(spark):
-    data = [(1, i) for i in range(10)] + [(2, 1), (None, 2), (None, 3), (None, 4), (None, 5)]
-    frame = spark.createDataFrame(data, "k int, v int")
-    ordinary, hot = split_hot(frame, ["k"], 3)
-    assert {r.k for r in hot.collect()} == {1}
-    assert ordinary.count() + hot.count() == len(data)
-    assert ordinary.where("k is null").count() == 4
+def test_a_null_key_is_a_key(spark):
+    frame = spark.createDataFrame([(None, 1, 1), (None, 2, 1), (1, 1, 1), (None, 9, 1)], "k int, at int, one int")
+    result = running_totals(frame, ["k"], F.floor(F.col("at") / 2), ["at"], ["one"])
+    assert rows(result, "k", "at", "one_before", "one_total") == sorted(
+        [(None, 1, 0, 3), (None, 2, 1, 3), (None, 9, 2, 3), (1, 1, 0, 1)], key=repr)
+
+
+def test_ranges_ascend_and_follow_the_rows(spark):
+    frame = spark.range(5000).select(F.concat(F.lit("same beginning "), F.lpad("id", 5, "0")).alias("name"))
+    found = range_blocks(frame, ["name"], "names", per_block=500)
+    spans = found.groupBy("block").agg(F.min("name").alias("a"), F.max("name").alias("b"), F.count("*").alias("n")).orderBy("block").collect()
+    assert len(spans) == 10 and max(r.n for r in spans) < 1000 and sum(r.n for r in spans) == 5000
+    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
+    assert range_blocks(frame.limit(0), ["name"], "none").count() == 0
