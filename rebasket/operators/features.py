@@ -98,6 +98,56 @@ def prd_features(prior: DataFrame, within: list[str] | None = None) -> DataFrame
     )
 
 
+def purchases(prior: DataFrame) -> DataFrame:
+    """The prior lines summed per user, product and order number: all that the
+    three line features need, from one pass over the lines."""
+    return prior.groupBy(*PAIR, "order_number").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("reordered") == 1).alias("again"),
+        F.sum("reordered").alias("reorders"),
+        F.sum("add_to_cart_order").alias("carts"),
+        F.count("add_to_cart_order").alias("carted"),
+    )
+
+
+def pair_summary(bought: DataFrame) -> DataFrame:
+    """One row per user and product from ``purchases``.
+
+    The two lowest order numbers pass a limited window; the sums are plain
+    aggregates, so neither gathers the orders of a pair in one task.
+    """
+    nth = F.row_number().over(Window.partitionBy(*PAIR).orderBy("order_number"))
+    lowest = bought.select(*PAIR, "order_number", "n").withColumn("nth", nth).where(F.col("nth") <= 2)
+    ends = lowest.select(
+        *PAIR, F.when(F.col("nth") == 1, F.col("n")).alias("first"), F.when(F.col("nth") == 2, F.col("n")).alias("second"))
+    both = bought.unionByName(ends, allowMissingColumns=True)
+    return both.groupBy(*PAIR).agg(
+        *[F.sum(c).alias(c) for c in ("n", "again", "reorders", "carts", "carted", "first", "second")],
+        F.sum(F.when(F.col("order_number") > 1, F.col("n"))).alias("later"),
+        F.min("order_number").alias("up_first_order"),
+        F.max("order_number").alias("up_last_order"),
+    )
+
+
+def line_features(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``user_features_2``, ``up_features`` and ``prd_features`` from ``pair_summary``."""
+    users = pairs.groupBy("user_id").agg(
+        F.coalesce(F.sum(F.when(F.col("product_id").isNotNull(), F.col("n"))), F.lit(0)).alias("user_total_products"),
+        F.count("product_id").alias("user_distinct_products"),
+        F.try_divide(F.sum("again"), F.sum("later")).alias("user_reorder_ratio"),
+    )
+    up = pairs.select(
+        *PAIR, F.col("n").alias("up_orders"), "up_first_order", "up_last_order",
+        F.try_divide("carts", "carted").alias("up_average_cart_position"))
+    products = pairs.groupBy("product_id").agg(
+        F.sum("n").alias("prod_orders"),
+        F.sum("reorders").alias("prod_reorders"),
+        F.sum("first").alias("prod_first_orders"),
+        F.coalesce(F.sum(F.when(F.col("first") == 1, F.col("second"))), F.lit(0)).alias("prod_second_orders"),
+    )
+    return users, up, products
+
+
 def features_join(up: DataFrame, prd: DataFrame, uf1: DataFrame, uf2: DataFrame) -> DataFrame:
     """Inner joins of the pair rows with their product and user features.
 

@@ -7,20 +7,25 @@ from pyspark.sql import DataFrame
 from rebasket.operators.features import (
     derive_features,
     features_join,
-    prd_features,
-    up_features,
+    line_features,
+    pair_summary,
+    purchases,
     user_features_1,
-    user_features_2,
 )
 from rebasket.operators.labels import candidate_orders, train_lines, with_labels
 from rebasket.plans.retail import Shop
+from rebasket.session import stored
 
 
 def joined_features(s: Shop) -> DataFrame:
-    """The four feature tables joined."""
-    prior = s.order_products_prior
-    return features_join(up_features(prior), prd_features(prior), user_features_1(s.orders),
-                         user_features_2(prior))
+    """The four feature tables joined, from one pass over the lines."""
+    uf2, up, prd = line_features(_pairs(s))
+    return features_join(up, prd, user_features_1(s.orders), uf2)
+
+
+def _pairs(s: Shop) -> DataFrame:
+    """One stored row per user and product, which the line features read."""
+    return stored(pair_summary(stored(purchases(s.order_products_prior), "purchases")), "pairs")
 
 
 def feature_matrix(s: Shop) -> DataFrame:
@@ -35,7 +40,7 @@ def labelled_matrix(s: Shop) -> DataFrame:
     the pair rows do: these meet the users once, in a join of its own stage that
     adaptive execution can split at a hot user.
     """
-    prior = s.order_products_prior
+    uf2, up, prd = line_features(_pairs(s))
     users = user_features_1(s.orders).join(candidate_orders(s.orders), "user_id")
-    joined = features_join(up_features(prior), prd_features(prior), users, user_features_2(prior))
+    joined = features_join(up, prd, users, uf2)
     return with_labels(derive_features(joined), train_lines(s.order_products_train, s.orders))

@@ -2,8 +2,8 @@
 
 Each step stores what later steps read, under one output folder:
 
-    order_products_prior/ user_features_1/ user_features_2/ up_features/
-    prd_features/ features_join/ feature_store/ labelled/ model/ scores/
+    order_products_prior/ purchases/ pairs/ user_features_1/ user_features_2/
+    up_features/ prd_features/ features_join/ feature_store/ labelled/ model/ scores/
     evaluation/ submission/
 """
 
@@ -17,10 +17,10 @@ from rebasket.operators.evaluate import roc_auc
 from rebasket.operators.features import (
     derive_features,
     features_join,
-    prd_features,
-    up_features,
+    line_features,
+    pair_summary,
+    purchases,
     user_features_1,
-    user_features_2,
 )
 from rebasket.operators.labels import (
     LABEL,
@@ -45,15 +45,18 @@ def _write(rows: DataFrame, path: str, *by: str) -> DataFrame:
 def build_features(orders: DataFrame, order_products: DataFrame, out: str) -> DataFrame:
     """All feature tables; returns the stored joined features with the ratios.
 
-    The prior lines are written once, clustered by user and product, and read by
-    three feature jobs; the joined table is written once and read by training,
-    scoring and the feature store.
+    The prior lines are written once, clustered by user and product, and read
+    once: a row per user, product and order, then a row per user and product,
+    from which the three line features follow. The joined table is written once
+    and read by training, scoring and the feature store.
     """
     prior = write_prior(order_products_prior(orders, order_products), f"{out}/order_products_prior")
+    pairs = _write(pair_summary(_write(purchases(prior), f"{out}/purchases")), f"{out}/pairs")
+    users, pair_rows, products = line_features(pairs)
     uf1 = _write(user_features_1(orders), f"{out}/user_features_1")
-    uf2 = _write(user_features_2(prior), f"{out}/user_features_2")
-    up = _write(up_features(prior), f"{out}/up_features")
-    prd = _write(prd_features(prior), f"{out}/prd_features")
+    uf2 = _write(users, f"{out}/user_features_2")
+    up = _write(pair_rows, f"{out}/up_features")
+    prd = _write(products, f"{out}/prd_features")
     matrix = _write(derive_features(features_join(up, prd, uf1, uf2)), f"{out}/features_join")
     write_feature_store(matrix, f"{out}/feature_store")
     return matrix

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from helpers import LINE_SCHEMA, ORDER_SCHEMA, prior_of, rows, same
 from pyspark.sql import functions as F
@@ -6,8 +8,11 @@ from rebasket.functions.ratios import CONSUMED
 from rebasket.operators.features import (
     derive_features,
     features_join,
+    line_features,
+    pair_summary,
     prd_features,
     product_seq_time,
+    purchases,
     up_features,
     user_features_1,
     user_features_2,
@@ -132,3 +137,20 @@ def test_open_orders_count_as_user_orders(small):
     joined = features_join(up_features(prior), prd_features(prior), user_features_1(small.orders),
                            user_features_2(prior))
     assert derive_features(joined).where("up_orders_since_last_order < 1").count() == 0
+
+
+def test_one_pass_gives_the_same_features(spark):
+    rng = random.Random(6)
+    lines = [(rng.choice([None, 1, 2, 3]), rng.choice([None, 5, 6, 7]), rng.choice([None, 1, 2, 3, 9]), rng.randint(0, 1)) for _ in range(200)]
+    prior = prior_of(spark, lines)
+    users, pairs, products = line_features(pair_summary(purchases(prior)))
+    same(users, user_features_2(prior))
+    same(pairs, up_features(prior))
+    same(products, prd_features(prior))
+
+
+def test_the_lines_are_read_once(spark, tiny):
+    from rebasket.plans.matrix import joined_features
+
+    plan = joined_features(tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert "add_to_cart_order" not in plan and plan.count("order_products_prior") == 0
