@@ -23,10 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The score the checks use: one SQL can compute as well.
 SCORE = "up_order_rate_since_first_order"
 
-# Small settings, so that fitting runs often enough to be watched.
-SHORT_FIT = {"nrounds": 5, "max_depth": 4, "eta": 0.1, "gamma": 0.7, "subsample": 0.75,
-             "min_child_weight": 10}
-
 
 def _train(s: Shop) -> DataFrame:
     return labels.split_train_test(labelled_matrix(s))[0]
@@ -156,20 +152,18 @@ def fit_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(labelled_matrix(shop(spark, sf_dir)), "labelled")
     train, test = labels.split_train_test(rows)
     kept, held = labels.holdout(train)
-    fitted = model.fit(kept, SHORT_FIT, validation=held)
+    fitted = model.fit(kept, model.SIMPLE_FIT, validation=held)
     return submission.decide(model.score(fitted, test))
 
 
 def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = stored(_train(shop(spark, sf_dir)), "train")
-    shared = {**tuning.GRID_SHARED, "nrounds": 3, "max_depth": 3}
-    return tuning.tune_grid(train, shared=shared)[1]
+    return tuning.tune_grid(train)[1]
 
 
 def tune_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, held = labels.holdout(stored(_train(shop(spark, sf_dir)), "train"))
-    ranges = {**tuning.RANGES, "max_depth": (3, 5)}
-    return tuning.tune_random(kept, held, ranges=ranges, shared={"nrounds": 3})[1]
+    return tuning.tune_random(kept, held)[1]
 
 
 # --- requests and refresh ----------------------------------------------------
@@ -219,7 +213,7 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = shop(spark, sf_dir)
     base = fresh_path(spark, "answers")
     rows = stored(labelled_matrix(s), "labelled")
-    fitted = model.fit(labels.split_train_test(rows)[0], SHORT_FIT)
+    fitted = model.fit(labels.split_train_test(rows)[0], model.SIMPLE_FIT)
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
     request_bodies(s).write.text(f"{base}/landing")
     arriving = requests.request_stream(spark, f"{base}/landing", _third(spark.read.text(f"{base}/landing")))
