@@ -16,8 +16,8 @@ from the first to the last.
    through all of it, so every window within it is repeated.
 3. Windows that hold a repeated node but lie within no path (at a path's ends, at
    branches) are checked by their own words: a 128-bit hash at their source
-   coordinates, counted against each other and against the windows of one
-   occurrence per path.
+   coordinates, counted against each other and against the first and last window
+   of one occurrence per path (the windows between are open nowhere).
 
 Counts combine in the map tasks and are joined back, so a passage that a third
 of all texts share stays spread. Texts of equal words stand for each other: one
@@ -100,7 +100,12 @@ def inside_paths(n_windows: int, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows to be counted: open ones with their place, and those of one occurrence per path."""
+    """The windows to be counted: open ones with their place, and two of one occurrence per path.
+
+    A window within a path that holds through nodes only lies within the path
+    wherever it occurs, so it is open nowhere. The others hold the path's first or
+    last node: they are the path's first and last window.
+    """
     for batch in batches:
         rids, weights = batch.column("rid").to_pylist(), batch.column("weight").to_pylist()
         at, paths = batch.column("at").to_pylist(), batch.column("paths").to_pylist()
@@ -120,7 +125,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spans = np.array([(p["start"], p["end"], p["first"]) for p in paths[first + i]], np.int64).reshape(-1, 3)
                 closed = inside_paths(n, spans[:, 0], spans[:, 1])
                 lead = spans[spans[:, 2] == 1]
-                speaks = inside_paths(n, lead[:, 0], lead[:, 1])
+                lead = lead[lead[:, 1] - lead[:, 0] >= WINDOW]
+                speaks = np.zeros(n, bool)
+                speaks[lead[:, 0]] = True
+                speaks[lead[:, 1] - WINDOW] = True
                 asks = holds & ~closed
                 chosen = np.flatnonzero(asks | speaks)
                 if not len(chosen):
