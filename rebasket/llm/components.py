@@ -12,7 +12,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
     Large-star moves the neighbours above a node, small-star those below it and
     the node itself. The least neighbour is found by an aggregate that combines
-    in the map tasks and joined back, so the edges of a hot node stay spread.
+    in the map tasks; the join back holds the edges of one node in one task.
     """
     if large:
         around = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(

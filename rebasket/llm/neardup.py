@@ -302,12 +302,17 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         .select("doc_id", "gathered", F.coalesce("joined", "doc_id").alias("component"), "signature", "shingles")
     )
     more = residual_links(stored(grouped, "groups"), bands)
-    same = sound.join(classes.select(F.col("digest").alias("of"), "rep"), F.col("digest") == F.col("of")).select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter(F.col("a") != F.col("b"))
-    # ids of several texts belong to several classes; their links meet in the id
-    final = components(near.unionByName(more).unionByName(same))
-    found = read.join(final.withColumnRenamed("component", "least"), F.col("doc_id") == F.col("node"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    # copies follow their representative; only an id with several texts is a node of its own, in which their classes meet
+    of_class = classes.select(F.col("digest").alias("of"), "rep")
+    twice = read.groupBy(F.col("doc_id").alias("id")).agg(F.min("digest").alias("x"), F.max("digest").alias("y"), F.count("digest").alias("k"), F.count("*").alias("m"))
+    twice = twice.filter(F.col("x").isNotNull() & ((F.col("x") != F.col("y")) | (F.col("k") < F.col("m")))).select("id")
+    shared = sound.join(twice, F.col("doc_id") == F.col("id")).join(of_class, F.col("digest") == F.col("of")).select(
+        F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    final = components(near.unionByName(more).unionByName(shared))
+    known = read.select("doc_id", "n", "digest").join(of_class, (F.col("digest") == F.col("of")) & F.col("doc_id").isNotNull(), "left").withColumn(
+        "at", F.coalesce("rep", "doc_id"))
+    found = known.join(final.withColumnRenamed("component", "least"), F.col("at") == F.col("node"), "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "at").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
