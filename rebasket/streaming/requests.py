@@ -106,7 +106,7 @@ def _stream(requests: DataFrame, store: DataFrame, out: str, checkpoint: str,
     """
     def answer(batch: DataFrame, batch_id: int) -> None:
         keyed = with_keys(batch)
-        path = f"{checkpoint}/wanted"
+        path = f"{out}/_wanted"  # hidden from readers of the answers
         marked = wanted_keys(keyed).withColumn("user_bucket", user_bucket(buckets))
         marked.write.mode("overwrite").parquet(path)
         wanted = batch.sparkSession.read.schema(f"{PAIR[0]} bigint, {PAIR[1]} bigint, user_bucket int").parquet(path)
