@@ -110,18 +110,18 @@ def band_keys(signature: np.ndarray, bands: Bands) -> np.ndarray:
 def _read(width: int, bands: Bands):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            others = [c for c in batch.schema.names if c != "text"]
             for first, part in slices(binary_column(batch.column("text")), 1 << 20):
                 sets = list(shingle_sets(part, width))
                 some = [s for s in sets if len(s)]
                 signed = iter(signatures(some, bands.hashes))
                 rows = [next(signed).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, len(part)),
+                    *(batch.column(c).slice(first, len(part)) for c in others),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array(rows, pa.binary()),
-                ], names=["doc_id", "n", "digest", "signature"])
+                ], names=[*others, "n", "digest", "signature"])
 
     return read
 
@@ -259,20 +259,17 @@ def residual_links(members: DataFrame, bands: Bands, block: int = BLOCK) -> Data
         lambda group: block_links(group, bands), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document.
+def _signed(texts: DataFrame, width: int, bands: Bands) -> DataFrame:
+    """The columns of ``texts`` but the text, then n, digest, signature: stored, one row per row."""
+    kept = ", ".join(f"{name} {kind}" for name, kind in texts.drop("text").dtypes)
+    return stored(texts.mapInArrow(_read(width, bands), f"{kept}, n long, digest binary, signature binary"), "signatures")
 
-    ``component_id`` is the least doc_id reachable over links, itself included;
-    ``kept`` marks it. A null or empty text, or one without words, has no
-    shingles and no links. Rows of a null id are linked with nothing and kept;
-    rows of equal ids are one node: they share links and are all kept if their id
-    is. Other columns are ignored; an empty table gives no rows.
+
+def _links(texts: DataFrame, sound: DataFrame, classes: DataFrame, width: int, bands: Bands) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between the representatives of classes: those of the buckets, and the rest.
+
+    ``texts``: doc_id, text. ``sound``: the signed rows with shingles. ``classes``: digest, rep.
     """
-    bands = Bands(percent)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    read = stored(texts.mapInArrow(_read(width, bands), "doc_id long, n long, digest binary, signature binary"), "signatures")
-    sound = read.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    classes = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     # an id can stand for several texts: the first signature of each class is taken by its own digest
     alone = sound.join(classes.select(F.col("digest").alias("of"), "rep"), (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("rep")))
     members = stored(alone.select("doc_id", "signature").mapInArrow(_band_rows(bands), "doc_id long, band long"), "bands")
@@ -301,7 +298,24 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
         .join(joined.select(F.col("node").alias("c"), F.col("component").alias("joined")), F.col("doc_id") == F.col("c"), "left")
         .select("doc_id", "gathered", F.coalesce("joined", "doc_id").alias("component"), "signature", "shingles")
     )
-    more = residual_links(stored(grouped, "groups"), bands)
+    return near, residual_links(stored(grouped, "groups"), bands)
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document.
+
+    ``component_id`` is the least doc_id reachable over links, itself included;
+    ``kept`` marks it. A null or empty text, or one without words, has no
+    shingles and no links. Rows of a null id are linked with nothing and kept;
+    rows of equal ids are one node: they share links and are all kept if their id
+    is. Other columns are ignored; an empty table gives no rows.
+    """
+    bands = Bands(percent)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    read = _signed(texts, width, bands)
+    sound = read.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+    classes = stored(sound.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
+    near, more = _links(texts, sound, classes, width, bands)
     # copies follow their representative; only an id with several texts is a node of its own, in which their classes meet
     of_class = classes.select(F.col("digest").alias("of"), "rep")
     twice = read.groupBy(F.col("doc_id").alias("id")).agg(F.min("digest").alias("x"), F.max("digest").alias("y"), F.count("digest").alias("k"), F.count("*").alias("m"))
@@ -317,11 +331,29 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with their columns.
-
-    The dropped ids are distinct; the texts move once to meet them, at any size.
+    """Of each component of near duplicate rows the first row, with all columns.
+
+    Every row is a document of its own here, whatever its id: an id with several
+    texts links nothing, and repeats under one id or a null id count as repeats.
+    The first row is the one of the least id (null last), then of the least hash
+    of its text. Rows without shingles all stay. The rows are stored with a
+    number of their own, so that a number always means the same row; the texts
+    move once to meet the numbers, at any size.
     """
-    dropped = near_duplicates(docs, width, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    name = free_name(docs.columns, "dropped_id")
-    return docs.join(
-        dropped.withColumnRenamed("doc_id", name).hint("shuffle_hash"), F.col("doc_id") == F.col(name), "left_anti")
+    bands = Bands(percent)
+    number, own = free_name(docs.columns, "row_number"), free_name(docs.columns, "kept_number")
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    text = F.col("text").cast("string")
+    texts = numbered.select(
+        F.col(number).alias("doc_id"), F.col("doc_id").cast("long").alias("owner"), F.xxhash64(text).alias("spread"), text.alias("text"))
+    read = _signed(texts, width, bands)
+    sound = read.filter(F.col("digest").isNotNull())
+    order = F.struct(F.col("owner").isNull().alias("unowned"), "owner", "spread", "doc_id")
+    classes = stored(sound.groupBy("digest").agg(F.min(order).alias("first")).withColumn("rep", F.col("first.doc_id")), "classes")
+    near, more = _links(texts.select("doc_id", "text"), sound, classes, width, bands)
+    final = components(near.unionByName(more))
+    firsts = classes.join(final, F.col("rep") == F.col("node"), "left").groupBy(
+        F.coalesce("component", "rep").alias("component")).agg(F.min("first").alias("first"))
+    kept = firsts.select(F.col("first.doc_id").alias(own)).unionByName(
+        read.filter(F.col("digest").isNull()).select(F.col("doc_id").alias(own)))
+    return numbered.join(kept.hint("shuffle_hash"), F.col(number) == F.col(own), "left_semi").drop(number)

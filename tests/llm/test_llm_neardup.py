@@ -123,3 +123,25 @@ def test_bands_find_what_they_promise():
     assert len(block_links(pd.DataFrame({
         "doc_id": [1, 2], "component": [1, 1], "side": [0, 0], "signature": [s.tobytes() for s in same],
         "shingles": [np.arange(5, dtype=np.uint64).tobytes()] * 2}), Bands(85))) == 0
+
+
+def test_deduplicated_decides_by_row(spark):
+    a, b, c, d = (words(i, 60) for i in (71, 72, 73, 74))
+    rows = [(5, a, "p"), (6, a, "q"), (6, b, "r"), (9, b, "s"), (None, c, "t"), (None, c, "u"), (7, c, "v"),
+            (8, d, "w"), (8, d, "x"), (None, None, "y"), (8, " ", "z"), (8, " ", "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, tag string").repartition(5)
+    kept = plain(neardup.deduplicated(frame).select("doc_id", "text"))
+    assert kept == plain(spark.createDataFrame(
+        [(5, a), (6, b), (7, c), (8, d), (None, None), (8, " "), (8, " ")], "doc_id long, text string"))
+
+
+def test_one_hot_id_does_not_drop_unique_texts(spark):
+    many = [(1, words(100 + i, 40)) for i in range(60)]
+    near = variants(5, 40, 2)
+    rows = [*many, *((20 + i, t) for i, (_, t) in enumerate(many)), *((1 if i % 2 else None, t) for i, t in enumerate(near))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [tuple(r) for r in neardup.deduplicated(frame).collect()]
+    ids = [(i, t) for i, (_, t) in enumerate(rows)]
+    components = {root for _, _, root, _ in by_hand(ids, 5, 80)}
+    assert len(kept) == len(components) and {t for _, t in kept} >= {t for _, t in many}
+    assert all(i == 1 for i, _ in kept)
