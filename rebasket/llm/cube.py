@@ -97,10 +97,10 @@ def step(p: list[float], size: list[float], draw: random.Random) -> None:
 
 
 _FLOWN = pa.schema([
-    ("source", pa.string()), ("doc_id", pa.int64()), ("size", pa.int64()), ("spread", pa.int64()),
+    ("source", pa.string()), ("doc_id", pa.int64()), ("size", pa.int64()), ("spread", pa.int64()), ("row", pa.int64()),
     ("p", pa.float64()), ("more", pa.int32()),
 ])
-_SHAPE = "source string, doc_id long, size long, spread long, p double, more int"
+_SHAPE = "source string, doc_id long, size long, spread long, row long, p double, more int"
 
 
 def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,16 +111,16 @@ def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size: list[float] = []
     out: list[tuple] = []
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("source", "chunk", "doc_id", "size", "spread", "p")]
-        for source, number, doc, words, spread, own in zip(*columns):
+        columns = [batch.column(c).to_pylist() for c in ("source", "chunk", "doc_id", "size", "spread", "row", "p")]
+        for source, number, doc, words, spread, row, own in zip(*columns):
             if (source, number) != chunk:
-                out += [(*row, x, None) for row, x in zip(held, p)]
+                out += [(*one, x, None) for one, x in zip(held, p)]
                 held, p, size = [], [], []
                 chunk, draw = (source, number), random.Random(f"{source!r} {number}")
             if own <= _EPS or own >= 1 - _EPS or words == 0:
-                out.append((source, doc, words, spread, own, int(own > 0.5 and words > 0)))
+                out.append((source, doc, words, spread, row, own, int(own > 0.5 and words > 0)))
                 continue
-            held.append((source, doc, words, spread))
+            held.append((source, doc, words, spread, row))
             p.append(own)
             size.append(float(words))
             while len(p) == 3:
@@ -131,7 +131,7 @@ def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         size.pop(i)
         yield _rows(out)
         out = []
-    yield _rows([(*row, x, None) for row, x in zip(held, p)])
+    yield _rows([(*one, x, None) for one, x in zip(held, p)])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -152,7 +152,7 @@ def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _last(names: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """The last flight of a source, and its landing."""
-    rows = group.sort_values(["spread", "doc_id", "size"], kind="stable").reset_index(drop=True)
+    rows = group.sort_values(["spread", "doc_id", "size", "row"], kind="stable").reset_index(drop=True)
     p, sizes = rows["p"].tolist(), rows["size"].astype(float).tolist()
     draw = random.Random(f"{names[0]!r} last")
     open_ = []
@@ -185,11 +185,19 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, chunk: int = CHUNK) -> DataFra
     Order and draws follow from hashes of ids and sizes, so reruns and other
     partitionings agree. Other columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    sizes = stored(docs.select(
+    return _mix(_sizes(docs, F.monotonically_increasing_id()), most, chunk).drop("row")
+
+
+def _sizes(docs: DataFrame, row: Column) -> DataFrame:
+    """doc_id, source, size, row: stored."""
+    return stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        word_count(F.col("text").cast("string")).alias("size"),
+        word_count(F.col("text").cast("string")).alias("size"), row.alias("row"),
     ), "mix-sizes")
+
+
+def _mix(sizes: DataFrame, most: int, chunk: int) -> DataFrame:
+    """The columns of ``mix``, and the row number of each document."""
     targets = stored(source_targets(sizes, most).withColumn(
         "ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     ).withColumn("sure", F.floor(F.col("ratio") + 1e-12).cast("int")), "mix-targets")
@@ -197,7 +205,7 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, chunk: int = CHUNK) -> DataFra
     known = sizes.join(targets.select(F.col("source").alias("of"), "documents", "ratio", "sure"), F.col("source").eqNullSafe(F.col("of")))
     flying = known.select(
         "source", "doc_id", "size",
-        F.xxhash64("doc_id", "size").alias("spread"),
+        F.xxhash64("doc_id", "size").alias("spread"), "row",
         F.greatest(F.col("ratio") - F.col("sure"), F.lit(0.0)).alias("p"),
         F.ceil(F.col("documents") / chunk).alias("chunks"),
     )
@@ -210,18 +218,18 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, chunk: int = CHUNK) -> DataFra
         flown = stored(
             large.withColumn("chunk", F.pmod(F.xxhash64("spread", F.lit(len(small))), F.col("chunks")))
             .repartition("source", "chunk")
-            .sortWithinPartitions("source", "chunk", "spread", "doc_id", "size")
-            .select("source", "chunk", "doc_id", "size", "spread", "p")
+            .sortWithinPartitions("source", "chunk", "spread", "doc_id", "size", "row")
+            .select("source", "chunk", "doc_id", "size", "spread", "row", "p")
             .mapInArrow(_fly, _SHAPE), "mix-flight")
         decided_parts.append(flown.filter(F.col("more").isNotNull()))
         left = flown.filter(F.col("more").isNull())
         count = left.groupBy("source").agg(F.count("*").alias("left"))
         flying = left.join(count.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).select(
-            "source", "doc_id", "size", "spread", "p", F.ceil(F.col("left") / chunk).alias("chunks"))
+            "source", "doc_id", "size", "spread", "row", "p", F.ceil(F.col("left") / chunk).alias("chunks"))
     last = small[0]
     for more in small[1:]:
         last = last.unionByName(more)
-    parts = [*decided_parts, last.select("source", "doc_id", "size", "spread", "p").groupBy("source").applyInPandas(_last, _SHAPE)]
+    parts = [*decided_parts, last.select("source", "doc_id", "size", "spread", "row", "p").groupBy("source").applyInPandas(_last, _SHAPE)]
     decided = parts[0]
     for more in parts[1:]:
         decided = decided.unionByName(more)
@@ -229,23 +237,20 @@ def mix(docs: DataFrame, most: int = MOST_COPIES, chunk: int = CHUNK) -> DataFra
     return decided.join(
         targets.select(F.col("source").alias("of"), "source_size", "target", "sure"), F.col("source").eqNullSafe(F.col("of"))
     ).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), "source",
+        "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), "source", "row",
     )
 
 
 def mixed(docs: DataFrame, most: int = MOST_COPIES, chunk: int = CHUNK) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with their columns.
 
-    Rows that agree in id, source and number of words are taken equally often,
-    the sum of their copies shared and rounded down.
+    The rows are stored with a number of their own, which the mix carries along:
+    every row gets its own copies, also where ids are null or repeated.
     """
-    names = {n: free_name(docs.columns, n) for n in ("mix_id", "mix_source", "mix_size", "mix_copies", "mix_nth")}
-    taken = mix(docs, most, chunk).groupBy(
-        F.col("doc_id").alias(names["mix_id"]), F.col("source").alias(names["mix_source"]), F.col("size").alias(names["mix_size"])
-    ).agg(F.floor(F.avg("copies") + 1e-9).cast("int").alias(names["mix_copies"])).filter(F.col(names["mix_copies"]) > 0)
-    return docs.join(
-        taken.hint("shuffle_hash"),
-        F.col("doc_id").cast("long").eqNullSafe(F.col(names["mix_id"]))
-        & F.col("source").cast("string").eqNullSafe(F.col(names["mix_source"]))
-        & (word_count(F.col("text").cast("string")) == F.col(names["mix_size"])),
+    names = {n: free_name(docs.columns, n) for n in ("mix_number", "mix_row", "mix_copies", "mix_nth")}
+    numbered = stored(docs.withColumn(names["mix_number"], F.monotonically_increasing_id()), "mix-rows")
+    taken = _mix(_sizes(numbered, F.col(names["mix_number"])), most, chunk).filter(F.col("copies") > 0).select(
+        F.col("row").alias(names["mix_row"]), F.col("copies").alias(names["mix_copies"]))
+    return numbered.join(
+        taken.hint("shuffle_hash"), F.col(names["mix_number"]) == F.col(names["mix_row"]),
     ).withColumn(names["mix_nth"], F.explode(F.sequence(F.lit(1), F.col(names["mix_copies"])))).drop(*names.values())

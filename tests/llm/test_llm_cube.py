@@ -93,3 +93,17 @@ def test_mixed_repeats_rows(spark):
     for r in cube.mixed(docs).collect():
         seen[r.doc_id] = seen.get(r.doc_id, 0) + 1
     assert seen == {i: c for i, c in copies.items() if c}
+
+
+@pytest.mark.parametrize("chunk", [40, 2048])
+def test_mixed_takes_each_row_of_a_null_or_repeated_id_as_decided(spark, chunk):
+    rows = [(None if i % 2 else 7, f"a{i} b c d" if i % 3 else f"a{i} b", "abc"[i % 3 if i % 5 else 0], i) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, nth long").repartition(4)
+    decided = cube.mix(docs, chunk=chunk).toPandas()
+    taken = cube.mixed(docs, chunk=chunk).toPandas()
+    taken["words"] = taken["text"].str.split().str.len()
+    for source, part in decided.groupby("source"):
+        own = taken[taken["source"] == source]
+        assert own["words"].sum() == pytest.approx(part["target"].iloc[0], abs=10)
+        assert set(own.groupby("nth").size()) <= set(part["copies"])
+    assert len(taken) == pytest.approx(decided["copies"].sum(), abs=6)
