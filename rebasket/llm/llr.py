@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import Words, binary_column, inner_windows, mix, slices, window_hashes
+from .text import Words, binary_column, inner_windows, mix, slices, small_batches, window_hashes
 
 BITS = 14
 PRIOR = 1.0  # weight of the corpus in the trusted counts, in features per bucket
@@ -67,6 +67,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS) -> np.ndarray:
     fixed size, whatever the corpus. The trusted counts are drawn towards the
     corpus by PRIOR features per bucket, so buckets rarely seen say little.
     """
+    small_batches(docs.sparkSession)
     good = labels.filter(F.col("quality") == 1).select(F.col("doc_id").cast("long").alias("good_id")).distinct()
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         good.hint("shuffle_hash"), F.col("doc_id") == F.col("good_id"), "left"

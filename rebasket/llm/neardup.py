@@ -11,7 +11,7 @@ decisions use the full sets, signatures only pick the pairs to look at.
    central member (the one whose buckets are fullest): as many pairs as members.
 4. Verified links form components. Members of one bucket group that are still in
    different components are compared in blocks: a task holds two blocks of a
-   bounded number of documents, tests signatures, then sets, and returns links
+   bounded number of documents and bytes, tests signatures, then sets, and returns links
    only. No pair is left out, and none is emitted that is not a link.
 5. Components over all links, by alternating large-star and small-star.
 """
@@ -23,15 +23,15 @@ from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import stored
 from .components import components
-from .text import Words, binary_column, free_name, mix, slices, window_hashes
+from .text import Words, binary_column, free_name, mix, raw, slices, small_batches, window_hashes
 
-BLOCK = 192
+BLOCK, BLOCK_BYTES = 192, 4 << 20  # documents and bytes of their sets
 _MOST_HASHES = 128
 _draw = np.random.default_rng(20250)
 _FACTOR = _draw.integers(0, 1 << 64, _MOST_HASHES, dtype=np.uint64) | np.uint64(1)
@@ -126,12 +126,17 @@ def _read(width: int, bands: Bands):
     return read
 
 
+def _signatures(column: pa.Array | pa.ChunkedArray, bands: Bands) -> np.ndarray:
+    """The column's signatures as rows of numbers, without a copy of each."""
+    return raw(binary_column(column))[0].view(np.uint32).reshape(-1, bands.hashes)
+
+
 def _band_rows(bands: Bands):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            signed = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, bands.hashes)
+            signed = _signatures(batch.column("signature"), bands)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.repeat(batch.column("doc_id").to_numpy(), bands.number)),
                 pa.array(band_keys(signed, bands).reshape(-1)),
@@ -140,7 +145,7 @@ def _band_rows(bands: Bands):
     return rows
 
 
-def _set_rows(width: int, bands: Bands):
+def _set_rows(width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, part in slices(binary_column(batch.column("text")), 1 << 20):
@@ -148,9 +153,8 @@ def _set_rows(width: int, bands: Bands):
                 some = [i for i, s in enumerate(sets) if len(s)]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(first, len(part)).take(pa.array(some, pa.int64())),
-                    pa.array([s.tobytes() for s in signatures([sets[i] for i in some], bands.hashes)], pa.binary()),
                     pa.array([sets[i].tobytes() for i in some], pa.binary()),
-                ], names=["doc_id", "signature", "shingles"])
+                ], names=["doc_id", "shingles"])
 
     return rows
 
@@ -164,28 +168,37 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
+def _agree(bands: Bands):
+    """The pairs (a, b) whose signatures agree often enough for the threshold."""
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            one, other = (_signatures(batch.column(c), bands) for c in ("signature_a", "signature_b"))
+            keep = pa.array(np.count_nonzero(one == other, axis=1) >= bands.least_agreement)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    return agree
+
+
 def _verify(bands: Bands):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            columns = [batch.column(c).to_pylist() for c in ("signature_a", "signature_b", "shingles_a", "shingles_b")]
-            for sa, sb, xa, xb in zip(*columns):
-                agree = np.count_nonzero(np.frombuffer(sa, np.uint32) == np.frombuffer(sb, np.uint32))
-                keep.append(bool(agree >= bands.least_agreement) and linked(np.frombuffer(xa, np.uint64), np.frombuffer(xb, np.uint64), bands.percent))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+            (one, x), (other, y) = (raw(binary_column(batch.column(c))) for c in ("shingles_a", "shingles_b"))
+            keep = pa.array([
+                linked(one[x[i]:x[i + 1]].view(np.uint64), other[y[i]:y[i + 1]].view(np.uint64), bands.percent)
+                for i in range(len(batch))], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     return verify
 
 
-def block_links(group: pd.DataFrame, bands: Bands) -> pd.DataFrame:
+def block_links(group: pa.Table, bands: Bands) -> pa.Table:
     """Links between the two blocks of a group (within it, if it is one block), across components."""
-    ids = group["doc_id"].to_numpy()
-    part = group["component"].to_numpy()
-    side = group["side"].to_numpy()
-    signed = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(-1, bands.hashes)
-    sizes = np.array([len(s) // 8 for s in group["shingles"]])
+    ids, part, side = (group.column(c).to_numpy() for c in ("doc_id", "component", "side"))
+    signed = _signatures(group.column("signature"), bands)
+    flat, bounds = raw(binary_column(group.column("shingles")))
+    sizes = np.diff(bounds) // 8
     left = np.flatnonzero(side != 2)
     right = np.flatnonzero(side != 1)
     agree = np.zeros((len(left), len(right)), np.int16)
@@ -196,32 +209,10 @@ def block_links(group: pd.DataFrame, bands: Bands) -> pd.DataFrame:
     ask = (agree >= bands.least_agreement) & (100 * small >= bands.percent * large) & (part[left][:, None] != part[right][None, :])
     if side[0] == 0:
         ask &= left[:, None] < right[None, :]
-    a, b = np.nonzero(ask)
-    out = []
-    if len(a):
-        used = np.unique(np.concatenate([left[a], right[b]]))
-        place = np.full(len(ids), -1)
-        place[used] = np.arange(len(used))
-        own = [np.frombuffer(group["shingles"].iloc[i], np.uint64) for i in used]
-        values, codes = np.unique(np.concatenate(own), return_inverse=True)
-        row = np.repeat(np.arange(len(used)), [len(s) for s in own])
-        common = np.zeros((len(used), len(used)), np.float32)
-        # only values that two documents share matter; in strips, so that the matrix stays small
-        often = np.flatnonzero(np.bincount(codes, minlength=len(values)) > 1)
-        rank = np.full(len(values), -1)
-        rank[often] = np.arange(len(often))
-        code = rank[codes]
-        for first in range(0, len(often), 4096):
-            inside = (code >= first) & (code < first + 4096)
-            dense = np.zeros((len(used), 4096), np.float32)
-            dense[row[inside], code[inside] - first] = 1
-            common += dense @ dense.T
-        i, j = place[left[a]], place[right[b]]
-        shared = common[i, j].astype(np.int64)
-        union = sizes[left[a]] + sizes[right[b]] - shared
-        yes = 100 * shared >= bands.percent * union
-        out = list(zip(ids[left[a[yes]]], ids[right[b[yes]]]))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    out = [
+        (ids[i], ids[j]) for i, j in zip(*(x[k] for x, k in zip((left, right), np.nonzero(ask))))
+        if linked(*(flat[bounds[k]:bounds[k + 1]].view(np.uint64) for k in (i, j)), bands.percent)]
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
 def residual_links(members: DataFrame, bands: Bands, block: int = BLOCK) -> DataFrame:
@@ -231,13 +222,15 @@ def residual_links(members: DataFrame, bands: Bands, block: int = BLOCK) -> Data
     A component of a block's size or more gets blocks of its own, and pairs of
     its blocks are skipped; the small ones share blocks. Blocks are dealt by hash.
     """
-    parts = members.groupBy("gathered", "component").agg(F.count("*").alias("n"))
+    # a block's worth: so many members, or so many bytes of sets
+    weight = F.lit(1 / block) + F.octet_length("shingles") / F.lit(float(BLOCK_BYTES))
+    parts = members.groupBy("gathered", "component").agg(F.sum(weight).alias("n"))
     several = parts.groupBy("gathered").agg(
-        F.count("*").alias("parts"), F.sum(F.when(F.col("n") < block, F.col("n")).otherwise(0)).alias("small"))
+        F.count("*").alias("parts"), F.sum(F.when(F.col("n") < 1, F.col("n")).otherwise(0)).alias("small"))
     shape = parts.join(several.filter(F.col("parts") > 1), "gathered").select(
         F.col("gathered").alias("g"), F.col("component").alias("c"),
-        F.when(F.col("n") >= block, F.col("component")).otherwise(-1).alias("own"),
-        F.ceil(F.when(F.col("n") >= block, F.col("n")).otherwise(F.col("small")) / block).cast("int").alias("blocks"),
+        F.when(F.col("n") >= 1, F.col("component")).otherwise(-1).alias("own"),
+        F.ceil(F.when(F.col("n") >= 1, F.col("n")).otherwise(F.col("small"))).cast("int").alias("blocks"),
     )
     shape = stored(shape, "blocks")
     placed = members.join(shape, (F.col("gathered") == F.col("g")) & (F.col("component") == F.col("c"))).select(
@@ -255,12 +248,13 @@ def residual_links(members: DataFrame, bands: Bands, block: int = BLOCK) -> Data
         "pair", "g", F.col("own1").alias("o"), F.col("n1").alias("k"), F.when(one, 0).otherwise(1).alias("side")
     ).unionByName(pairs.filter(~one).select("pair", "g", F.col("own2").alias("o"), F.col("n2").alias("k"), F.lit(2).alias("side")))
     rows = placed.join(sides, (F.col("gathered") == F.col("g")) & (F.col("own") == F.col("o")) & (F.col("number") == F.col("k")))
-    return rows.select("pair", "side", "doc_id", "component", "signature", "shingles").groupBy("pair").applyInPandas(
+    return rows.select("pair", "side", "doc_id", "component", "signature", "shingles").groupBy("pair").applyInArrow(
         lambda group: block_links(group, bands), "a long, b long")
 
 
 def _signed(texts: DataFrame, width: int, bands: Bands) -> DataFrame:
     """The columns of ``texts`` but the text, then n, digest, signature: stored, one row per row."""
+    small_batches(texts.sparkSession)
     kept = ", ".join(f"{name} {kind}" for name, kind in texts.drop("text").dtypes)
     return stored(texts.mapInArrow(_read(width, bands), f"{kept}, n long, digest binary, signature binary"), "signatures")
 
@@ -282,21 +276,31 @@ def _links(texts: DataFrame, sound: DataFrame, classes: DataFrame, width: int, b
         met.join(heads, F.col("band") == F.col("b")).select(F.col("doc_id").alias("a"), (-F.col("head.minus")).alias("b"))
         .filter(F.col("a") != F.col("b")).distinct(), "stars")
     asked = met.select(F.col("doc_id").alias("id")).distinct()
-    known = stored(
-        texts.join(asked, F.col("doc_id") == F.col("id"), "left_semi")
-        .mapInArrow(_set_rows(width, bands), "doc_id long, signature binary, shingles binary"), "sets")
-    near = stored(
+    signed = alone.select("doc_id", "signature")
+    agreed = stored(
         stars
-        .join(known.select(F.col("doc_id").alias("ia"), F.col("signature").alias("signature_a"), F.col("shingles").alias("shingles_a")), F.col("a") == F.col("ia"))
-        .join(known.select(F.col("doc_id").alias("ib"), F.col("signature").alias("signature_b"), F.col("shingles").alias("shingles_b")), F.col("b") == F.col("ib"))
-        .select("a", "b", "signature_a", "signature_b", "shingles_a", "shingles_b")
-        .mapInArrow(_verify(bands), "a long, b long"), "links")
+        .join(signed.select(F.col("doc_id").alias("ia"), F.col("signature").alias("signature_a")), F.col("a") == F.col("ia"))
+        .join(signed.select(F.col("doc_id").alias("ib"), F.col("signature").alias("signature_b")), F.col("b") == F.col("ib"))
+        .select("a", "b", "signature_a", "signature_b").mapInArrow(_agree(bands), "a long, b long"), "agreed")
+    sets = stored(
+        texts.join(asked, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_set_rows(width), "doc_id long, shingles binary"), "sets")
+    near = stored(
+        agreed
+        .join(sets.select(F.col("doc_id").alias("ia"), F.col("shingles").alias("shingles_a")), F.col("a") == F.col("ia"))
+        .join(sets.select(F.col("doc_id").alias("ib"), F.col("shingles").alias("shingles_b")), F.col("b") == F.col("ib"))
+        .select("a", "b", "shingles_a", "shingles_b").mapInArrow(_verify(bands), "a long, b long"), "links")
     gathered = components(stars)
     joined = components(near)
-    grouped = (
-        known.join(gathered.select(F.col("node").alias("g"), F.col("component").alias("gathered")), F.col("doc_id") == F.col("g"))
+    places = stored(
+        gathered.select(F.col("node").alias("doc_id"), F.col("component").alias("gathered"))
         .join(joined.select(F.col("node").alias("c"), F.col("component").alias("joined")), F.col("doc_id") == F.col("c"), "left")
-        .select("doc_id", "gathered", F.coalesce("joined", "doc_id").alias("component"), "signature", "shingles")
+        .select("doc_id", "gathered", F.coalesce("joined", "doc_id").alias("component")), "places")
+    # only groups of several components ask for more
+    open_ = places.groupBy(F.col("gathered").alias("g")).agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("g")
+    asking = places.join(open_, F.col("gathered") == F.col("g")).drop("g")
+    grouped = (
+        asking.join(signed.withColumnRenamed("doc_id", "ia"), F.col("doc_id") == F.col("ia")).drop("ia")
+        .join(sets.withColumnRenamed("doc_id", "ib"), F.col("doc_id") == F.col("ib")).drop("ib")
     )
     return near, residual_links(stored(grouped, "groups"), bands)
 
@@ -356,4 +360,4 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
         F.coalesce("component", "rep").alias("component")).agg(F.min("first").alias("first"))
     kept = firsts.select(F.col("first.doc_id").alias(own)).unionByName(
         read.filter(F.col("digest").isNull()).select(F.col("doc_id").alias(own)))
-    return numbered.join(kept.hint("shuffle_hash"), F.col(number) == F.col(own), "left_semi").drop(number)
+    return numbered.join(kept, F.col(number) == F.col(own), "left_semi").drop(number)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import binary_column, lowest, raw, slices
+from .text import binary_column, lowest, raw, slices, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_ATOMS = 24
@@ -431,6 +431,7 @@ def find_pii(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
     other columns are ignored; an empty table gives no rows.
     """
     weights = train(docs) if weights is None else weights
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         _find(weights), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
@@ -458,6 +459,7 @@ def redact(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
             columns[at] = pa.array(out, kind)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
+    small_batches(docs.sparkSession)
     out = docs.mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

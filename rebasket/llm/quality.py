@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import binary_column, free_name, lowest, raw, slices
+from .text import binary_column, free_name, lowest, raw, slices, small_batches
 
 FILTER = 8
 STRIDE = 2
@@ -252,6 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Net:
 
 def score(docs: DataFrame, net: Net, name: str = "quality_score") -> DataFrame:
     """All columns of ``docs`` and the score; a null text counts as empty."""
+    small_batches(docs.sparkSession)
     shape = docs.select("*", F.lit(0.0).cast("double").alias(name)).schema
     at = docs.columns.index("text")
 

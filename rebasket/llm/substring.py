@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import stored
-from .text import Words, binary_column, inner_windows, mix, slices, window_hashes
+from .text import Words, binary_column, inner_windows, slices, small_batches, window_hashes
 
 WINDOW = 35
 NODE = 18
@@ -113,8 +113,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = Words(part)
             out: list[list[np.ndarray]] = [[], [], [], [], [], []]
             for i in range(len(part)):
-                hashes = words.hashes[words.bounds[i]:words.bounds[i + 1]]
-                n = len(hashes) - WINDOW + 1
+                own = slice(words.bounds[i], words.bounds[i + 1])
+                n = own.stop - own.start - WINDOW + 1
                 if n <= 0:
                     continue
                 held = np.array(at[first + i], np.int64)
@@ -134,8 +134,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not len(chosen):
                     continue
                 open_ = asks[chosen]
-                out[0].append(window_hashes(hashes, WINDOW)[chosen].view(np.int64))
-                out[1].append(window_hashes(mix(hashes ^ np.uint64(0xA5A5A5A5)), WINDOW)[chosen].view(np.int64))
+                out[0].append(window_hashes(words.hashes[own], WINDOW)[chosen].view(np.int64))
+                out[1].append(window_hashes(words.second[own], WINDOW)[chosen].view(np.int64))
                 out[2].append(np.full(len(chosen), rids[first + i], np.int64))
                 out[3].append(chosen.astype(np.int64))
                 out[4].append(np.where(open_, weights[first + i], 2).astype(np.int64))
@@ -218,6 +218,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     of equal or null ids are separate texts; other columns are ignored; an empty
     table gives no rows.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     keyed = texts.withColumn("key", F.xxhash64("text"))
     read = stored(

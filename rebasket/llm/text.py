@@ -8,12 +8,14 @@ one text, if that is longer), not the Arrow batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SLICE_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 _SEPARATOR = np.zeros(256, dtype=bool)
@@ -21,21 +23,10 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power_table(base: int, size: int) -> np.ndarray:
-    """base**i modulo 2**64 for i below size or more; kept for the worker's life."""
-    table = _powers.get(base)
-    if table is None or len(table) < size:
-        table = np.full(max(size, SLICE_BYTES + 1), base, dtype=np.uint64)
-        table[0] = 1
-        np.multiply.accumulate(table, out=table)
-        if size <= 8 * SLICE_BYTES:
-            _powers[base] = table
-    return table
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_SEEDS = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))
+_KEPT = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)  # the first k bytes of a lane
+_LONG = 64  # bytes; longer words are hashed one by one
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -49,6 +40,16 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session's Arrow batches end at ``BATCH_BYTES``, since a worker holds a batch whole.
+
+    Spark's default lets a batch of long texts reach 64 MB. A lower setting stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def free_name(taken: list[str], name: str) -> str:
     """The name, lengthened until no taken name equals it."""
     low = {t.lower() for t in taken}
@@ -98,18 +99,28 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa
         first = end
 
 
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``data`` on, whose last seven bytes are padding."""
+    return np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+
+
 class Words:
     """The words of a slice of texts.
 
     ``starts`` and ``ends`` are byte positions in ``data``; the words of text i
-    are ``bounds[i]:bounds[i + 1]``; ``hashes`` are 64-bit hashes of the bytes.
+    are ``bounds[i]:bounds[i + 1]``. ``hashes`` and ``second`` are two 64-bit
+    hashes of the bytes: chains of a finaliser over lanes of eight bytes, so
+    neither is a linear form of the bytes, and one does not follow from the other.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
-        self.data, self.offsets = raw(column)
-        if lower:
-            self.data = _LOWER[self.data]
-        n = len(self.data)
+    def __init__(self, column: pa.Array, lower: bool = False, table: np.ndarray | None = None):
+        """``table`` maps the bytes before words are cut; ``lower`` lowers A-Z."""
+        data, self.offsets = raw(column)
+        n = len(data)
+        padded = np.zeros(n + 8, np.uint8)
+        table = _LOWER if lower else table
+        padded[:n] = data if table is None else table[data]
+        self.data, self.lanes = padded[:n], lanes(padded)
         inside = np.zeros(n + 2, dtype=bool)
         inside[1:-1] = ~_SEPARATOR[self.data]
         opens = inside[1:-1] & ~inside[:-2]
@@ -122,38 +133,82 @@ class Words:
         self.starts = np.flatnonzero(opens)
         self.ends = np.flatnonzero(closes) + 1
         self.bounds = np.searchsorted(self.starts, self.offsets)
-        self._hashes: np.ndarray | None = None
+        self._hashes: dict[int, np.ndarray] = {}
+
+    def hashed(self, seed: int) -> np.ndarray:
+        """A 64-bit hash of each word's bytes; seeds give independent ones."""
+        if seed not in self._hashes:
+            size = self.ends - self.starts
+            start = _SEEDS[seed % 2] + np.uint64(seed // 2)
+            value = mix(size.astype(np.uint64) * _BASE ^ start)
+            at = np.flatnonzero(size <= _LONG)
+            done = 0
+            while len(at):
+                left = size[at] - done
+                lane = self.lanes[self.starts[at] + done] & _KEPT[np.minimum(left, 8)]
+                value[at] = mix((value[at] ^ lane) * _BASE + start)
+                at, done = at[left > 8], done + 8
+            salt = seed.to_bytes(16, "little")
+            for i in np.flatnonzero(size > _LONG).tolist():
+                digest = blake2b(self.data[self.starts[i]:self.ends[i]], digest_size=8, salt=salt).digest()
+                value[i] = int.from_bytes(digest, "little")
+            self._hashes[seed] = value
+        return self._hashes[seed]
 
     @property
     def hashes(self) -> np.ndarray:
-        if self._hashes is None:
-            n = len(self.data)
-            total = np.zeros(n + 1, dtype=np.uint64)
-            np.multiply(self.data.astype(np.uint64) + np.uint64(1), _power_table(_BASE, n + 1)[:n], out=total[1:])
-            np.cumsum(total, out=total)
-            summed = total[self.ends] - total[self.starts]
-            self._hashes = mix(summed * _power_table(_INVERSE, n + 1)[self.starts])
-        return self._hashes
+        return self.hashed(0)
+
+    @property
+    def second(self) -> np.ndarray:
+        return self.hashed(1)
 
     def text_of_word(self) -> np.ndarray:
         """The text's index for each word."""
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
+def equal_words(a: np.ndarray, a_at: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_size: np.ndarray) -> np.ndarray:
+    """Whether words are equal byte by byte: lanes they lie in, starts and sizes, pair by pair."""
+    same = a_size == b_size
+    at = np.flatnonzero(same)
+    done = 0
+    while len(at):
+        left = a_size[at] - done
+        alike = (a[a_at[at] + done] ^ b[b_at[at] + done]) & _KEPT[np.minimum(left, 8)] == 0
+        same[at[~alike]] = False
+        at, done = at[alike & (left > 8)], done + 8
+    return same
+
+
+def _together(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One hash of two neighbours' hashes; not linear, so that patterns of words do not cancel."""
+    both = left * _BASE
+    both ^= both >> np.uint64(32)
+    both += right
+    both *= _BASE
+    both ^= both >> np.uint64(29)
+    return both
+
+
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of each ``width`` consecutive word hashes (len - width + 1 of them)."""
+    """A 64-bit hash of each ``width`` consecutive word hashes (len - width + 1 of them).
+
+    Windows are put together from those of 1, 2, 4, 8, ... words.
+    """
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    if width <= 8:
-        out = np.zeros(n, dtype=np.uint64)
-        for i in range(width):
-            out = out * np.uint64(_BASE) + hashes[i:i + n]
-        return mix(out)
-    total = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.multiply(hashes, _power_table(_BASE, len(hashes) + 1)[:len(hashes)], out=total[1:])
-    np.cumsum(total, out=total)
-    return mix((total[width:] - total[:-width]) * _power_table(_INVERSE, len(hashes) + 1)[:n])
+    out, done, part, size = None, 0, hashes, 1
+    while True:
+        if width & size:
+            own = part[done:done + n]
+            out = own if out is None else _together(out[:n], own)
+            done += size
+        if done == width:
+            return mix(out[:n])
+        part = _together(part[:-size], part[size:])
+        size *= 2
 
 
 def inner_windows(bounds: np.ndarray, width: int, count: int) -> np.ndarray:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import binary_column, slices
+from .text import binary_column, slices, small_batches
 
 SPACE = "▁"
 _CACHE_UNITS = 500_000
@@ -221,6 +221,7 @@ def encode_texts(docs: DataFrame, model: str, keep: list[str]) -> DataFrame:
     counts as empty, which has no ids. Rows of equal or null ids are encoded one
     by one; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     kept = [*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")]
     rows = docs.select(*kept)
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

@@ -2,36 +2,41 @@
 
 Texts are encoded with a public tokenizer, an end id closes each. Shards are
 ranges of doc_id in ascending order; a shard's file is a Parquet file (zstd) of
-one or more parts. A part holds the ids of consecutive documents as a wavelet
-matrix: one row per bit plane, from the highest bit, with its bits, its number
-of zeros and the ones before every 512 bits, and one row (plane -1) with the
-documents' ids and ends. Rank and select on the planes give access to any token,
-counts and places of an id without decoding the rest.
+one or more parts. A part is a row: the documents' ids and ends, and the ids of
+these consecutive documents as a wavelet matrix, that is, for each bit plane
+from the highest bit its bits, its number of zeros and the ones before every 512
+bits. Rank and select on the planes give access to any token, counts and places
+of an id without decoding the rest.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import fresh_path
-from .text import Words, binary_column, slices
+from ..operators.running import running_totals
+from ..session import fresh_path, stored
+from .text import Words, binary_column, equal_words, lanes, slices, small_batches
 
 END_ID = 1
 SHARD_BYTES = 8 << 20  # of text, on average
 PART_TOKENS = 1 << 20
 BLOCK = 512  # bits
-_CACHE_WORDS, _CACHE_PIECES = 1_500_000, 400_000
+_CACHE_WORDS, _CACHE_BYTES, _CACHE_PIECES = 1_500_000, 32 << 20, 400_000
+_PARTS_PER_BLOCK = 100_000
 _GAP = 0xFFFFFFFF  # stands between words
 _encoders: dict[str, "Encoder"] = {}
 
-# the tokenizer's split pattern, for plain words in lower case, and the space between words
+# fixed values: how a tokenizer file splits and normalises that this encoder is made for
+_FILE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_FILE_NORMAL = ["NFC", "Replace", "Lowercase"]
+# the same split, for plain words in lower case, and the space between words
 _SPLIT = re.compile(" |'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
@@ -48,7 +53,8 @@ class Encoder:
     The tokenizer drops white space and never joins what it separates, so a
     text's ids are those of its words, and a word's are those of the pieces it is
     split into. The ids of recent words are kept by hash, so that only new words
-    are looked at. Pieces of plain words (ASCII and the precomposed letters of
+    are looked at; a word counts as known only if its bytes are the known word's
+    (if they ever differ, another hash takes over). Pieces of plain words (ASCII and the precomposed letters of
     Latin-1, whose normal form is lower case) go to the tokenizer's model in
     batches, each ends with an id whose token has the word-end suffix. Other
     words go through the whole tokenizer.
@@ -57,6 +63,12 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        with open(path, encoding="utf-8") as file:
+            shape = json.load(file)
+        splits = [p.get("pattern", {}).get("Regex") for p in (shape["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        normal = [n["type"] for n in (shape["normalizer"] or {}).get("normalizers", [])]
+        if splits[:1] != [_FILE_SPLIT] or normal != _FILE_NORMAL:
+            raise ValueError(f"{path} splits or normalises words in a way this encoder does not know")
         self.whole = Tokenizer.from_file(path)
         self.bare = Tokenizer.from_file(path)
         self.bare.normalizer = None
@@ -68,6 +80,7 @@ class Encoder:
         self.specials = tuple(t.content.encode() for t in self.whole.get_added_tokens_decoder().values())
         self.letters = _byte_letters()
         self.gap = {" ": np.array([_GAP], "<u4").tobytes()}
+        self.seed = 0
         self._forget()
 
     def _forget(self) -> None:
@@ -75,6 +88,9 @@ class Encoder:
         self.hashes = np.zeros(0, np.uint64)  # ascending, of the words known
         self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
+        # the words themselves, and where they are, in the order of the hashes
+        self.text, self.written = np.zeros(1 << 16, np.uint8), 0
+        self.place, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, pieces: list[str]) -> None:
         plain = [p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode())) for p in pieces]
@@ -136,24 +152,48 @@ class Encoder:
         if self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(new), len(self.flat)), "<u4")])
         self.flat[self.used:self.used + len(new)] = new
-        place = np.searchsorted(self.hashes, words.hashes[at])
-        self.hashes = np.insert(self.hashes, place, words.hashes[at])
+        if self.written + len(joined) + 8 > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros(max(len(joined), len(self.text)) + 8, np.uint8)])
+        self.text[self.written:self.written + len(joined)] = joined
+        hashes = words.hashed(self.seed)[at]
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, place, hashes)
         self.first = np.insert(self.first, place, first + self.used)
         self.count = np.insert(self.count, place, count)
+        self.place = np.insert(self.place, place, bounds[:-1] + self.written)
+        self.size = np.insert(self.size, place, length)
         self.used += len(new)
+        self.written += len(joined)
+
+    def _distinct(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One place of each distinct word, ascending by hash, which one every word is, and which are new.
+
+        Words of equal hashes are compared byte by byte, with each other and with
+        those known; a difference starts over with another hash.
+        """
+        size = words.ends - words.starts
+        while True:
+            distinct, at, which = np.unique(words.hashed(self.seed), return_index=True, return_inverse=True)
+            rep = at[which]
+            same = equal_words(words.lanes, words.starts, size, words.lanes, words.starts[rep], size[rep]).all()
+            if len(self.hashes) > _CACHE_WORDS or self.written > _CACHE_BYTES:
+                self._forget()
+            place = np.searchsorted(self.hashes, distinct)
+            new = np.append(self.hashes, np.uint64(0))[place] != distinct
+            new |= place == len(self.hashes)
+            old, known = at[~new], place[~new]
+            if same and equal_words(words.lanes, words.starts[old], size[old], lanes(self.text), self.place[known], self.size[known]).all():
+                return at, which, new
+            self._forget()
+            self.seed += 1
 
     def encode(self, part: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a binary slice, an end id after each, and the n ends."""
         words = Words(part)
-        distinct, at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > _CACHE_WORDS:
-            self._forget()
-        place = np.searchsorted(self.hashes, distinct)
-        new = np.append(self.hashes, np.uint64(0))[place] != distinct
-        new |= place == len(self.hashes)
+        at, which, new = self._distinct(words)
         if new.any():
             self._learn_words(words, at[new])
-            place = np.searchsorted(self.hashes, distinct)
+        place = np.searchsorted(self.hashes, words.hashed(self.seed)[at])
         # every word's ids, then the ends
         place = place[which]
         counts = self.count[place]
@@ -285,20 +325,18 @@ class WaveletMatrix:
 
 
 _FILE = pa.schema([
-    ("shard", pa.int32()), ("part", pa.int32()), ("plane", pa.int32()), ("n_tokens", pa.int64()), ("zeros", pa.int64()),
-    ("bits", pa.binary()), ("ones", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
+    ("shard", pa.int32()), ("part", pa.int32()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())),
+    ("bits", pa.list_(pa.binary())), ("ones", pa.list_(pa.binary())), ("zeros", pa.list_(pa.int64())),
 ])
 FILE_SCHEMA = (
-    "shard int, part int, plane int, n_tokens long, zeros long, bits binary, ones binary, doc_ids array<long>, ends array<long>"
+    "shard int, part int, n_tokens long, doc_ids array<long>, ends array<long>, bits array<binary>, ones array<binary>, zeros array<long>"
 )
 
 
 def _part(shard: int, part: int, planes: int, ids: list[np.ndarray], doc_ids: list, ends: list) -> pa.RecordBatch:
     tokens = np.concatenate(ids)
-    rows = [(shard, part, -1, len(tokens), None, None, None, doc_ids, ends)]
-    for plane, (bits, ones, zeros) in enumerate(WaveletMatrix.rows(tokens, planes)):
-        rows.append((shard, part, plane, len(tokens), zeros, bits, ones, None, None))
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FILE)], schema=_FILE)
+    row = (shard, part, len(tokens), doc_ids, ends, *map(list, zip(*WaveletMatrix.rows(tokens, planes))))
+    return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, _FILE)], schema=_FILE)
 
 
 def _write(path: str, planes: int):
@@ -334,65 +372,94 @@ def _write(path: str, planes: int):
 def write_shards(docs: DataFrame, tokenizer: str, vocabulary: int, out: str) -> None:
     """Encode all texts and write one file per range of doc_id.
 
-    The ranges hold equally many documents, about ``SHARD_BYTES`` of text each.
-    The texts move once. A part ends with a document, so it exceeds
+    A range holds about ``SHARD_BYTES`` of text; Spark cuts the ranges at sampled
+    ids, hashes of texts and places in the input, so that rows of one id are cut
+    too. The texts move once. A part ends with a document, so it exceeds
     ``PART_TOKENS`` only for a single longer text. Null texts count as empty,
-    null ids come first, rows of equal ids stand in the order of their texts.
+    null ids come first, rows of equal ids stand in the order of a hash of their texts.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("key"))
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("key")).withColumns(
+        {"spread": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // SHARD_BYTES))
-    cuts = rows.agg(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] if n > 1 else []
-    cuts = np.array(sorted(set(cuts or [])), dtype=np.int64)
-
-    @F.pandas_udf("int")
-    def shard_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(), side="left").astype(np.int32))
-
+    order = ["key", "spread", "row"]
     (
-        rows.withColumn("shard", shard_of("key")).repartitionById(len(cuts) + 1, F.col("shard"))
-        .sortWithinPartitions("shard", "key", "text").select("shard", "doc_id", "text")
+        rows.repartitionByRange(max(1, -(-total // SHARD_BYTES)), *order).sortWithinPartitions(*order)
+        .select(F.spark_partition_id().alias("shard"), "doc_id", "text")
         .mapInArrow(_write(tokenizer, max(1, (vocabulary - 1).bit_length())), FILE_SCHEMA)
         .write.option("compression", "zstd").parquet(out)
     )
 
 
-def matrix_of(part: pd.DataFrame) -> WaveletMatrix:
-    """The wavelet matrix of a part's rows."""
-    planes = part[part["plane"] >= 0].sort_values("plane")
-    n = int(part["n_tokens"].iloc[0])
-    return WaveletMatrix([Plane(r.bits, r.ones, n, int(r.zeros)) for r in planes.itertuples()], n)
+def matrix_of(part: dict) -> WaveletMatrix:
+    """The wavelet matrix of a part, a row of the file."""
+    n = part["n_tokens"]
+    return WaveletMatrix([Plane(b, o, n, z) for b, o, z in zip(part["bits"], part["ones"], part["zeros"])], n)
+
 
+_DOCUMENTS = pa.schema([
+    ("shard", pa.int32()), ("part", pa.int32()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
+])
 
-def _documents(part: pd.DataFrame) -> pd.DataFrame:
-    data = matrix_of(part).decode().astype("<u4").tobytes()
-    head = part[part["plane"] == -1].iloc[0]
-    ends = np.asarray(head["ends"], np.int64)
-    starts = np.concatenate([[0], ends[:-1]])
-    return pd.DataFrame({
-        "shard": int(head["shard"]), "part": int(head["part"]),
-        "doc_id": pd.array([None if i != i or i is None else int(i) for i in head["doc_ids"]], dtype="Int64"),
-        "local": starts, "n_tokens": ends - starts,
-        "ids_crc32": [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())],
-    })
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(len(batch)):
+            part = batch.slice(i, 1).to_pylist()[0]
+            data = matrix_of(part).decode().astype("<u4").tobytes()
+            ends = np.asarray(part["ends"], np.int64)
+            starts = np.concatenate([[0], ends[:-1]])
+            n = len(ends)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part["shard"]] * n, pa.int32()), pa.array([part["part"]] * n, pa.int32()), pa.array(part["doc_ids"], pa.int64()),
+                pa.array(starts), pa.array(ends - starts),
+                pa.array([zlib.crc32(data[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())], pa.int64()),
+            ], schema=_DOCUMENTS)
+
+
+def _found(batches: Iterator[pa.RecordBatch], token: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(len(batch)):
+            part = batch.slice(i, 1).to_pylist()[0]
+            matrix = matrix_of(part)
+            ends = np.asarray(part["ends"], np.int64)
+            places = np.array([matrix.locate(token, k) for k in range(matrix.count(token))], np.int64)
+            own = np.searchsorted(ends, places, side="right")
+            inside = places - np.concatenate([[0], ends])[own]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part["shard"]] * len(places), pa.int32()), pa.array([part["part"]] * len(places), pa.int32()),
+                pa.array([part["doc_ids"][d] for d in own.tolist()], pa.int64()), pa.array(inside),
+            ], names=["shard", "part", "doc_id", "place"])
+
+
+def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """shard, part, doc_id, place: where an id occurs (from 0 in its document), by select on the planes.
+
+    Every task answers for the parts it reads; no part is decoded. An id that
+    occurs nowhere, or a folder without documents, gives no rows.
+    """
+    small_batches(spark)
+    return spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(
+        lambda batches: _found(batches, token), "shard int, part int, doc_id long, place long")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files.
 
-    Parts are decoded one per group; the start adds the tokens of all earlier
-    parts, which are one row each.
+    A part is decoded where it is read. The start adds the tokens of all earlier
+    parts: running totals over blocks of parts, which are one row each.
+    A folder without documents gives no rows.
     """
+    small_batches(spark)
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    totals = files.filter("plane = -1").select(F.col("shard").alias("s"), F.col("part").alias("p"), "n_tokens")
-    before = totals.select("s", "p", F.coalesce(
-        F.sum("n_tokens").over(Window.orderBy("s", "p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    decoded = files.groupBy("shard", "part").applyInPandas(
-        _documents, "shard int, part int, doc_id long, local long, n_tokens long, ids_crc32 long")
+    totals = stored(files.select("shard", "part", F.col("n_tokens").alias("tokens")), "parts")
+    before = running_totals(totals, [], F.floor(F.col("shard") / _PARTS_PER_BLOCK), ["shard", "part"], ["tokens"]).select(
+        F.col("shard").alias("s"), F.col("part").alias("p"), "tokens_before")
+    decoded = files.mapInArrow(_documents, "shard int, part int, doc_id long, local long, n_tokens long, ids_crc32 long")
     return decoded.join(before, (F.col("shard") == F.col("s")) & (F.col("part") == F.col("p"))).select(
-        "doc_id", (F.col("local") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+        "doc_id", (F.col("local") + F.col("tokens_before")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_files(docs: DataFrame, tokenizer: str, vocabulary: int) -> DataFrame:

@@ -24,6 +24,12 @@ TEXTS = [
 ]
 
 
+def confused(n=1024):
+    """Two different words of ``n`` letters that have equal polynomial hashes modulo 2**64, whatever the base."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
 def odd(spark):
     rows = [(i, t, "en", None if k % 5 == 0 else f"s{k % 3}", len(t or "")) for k, (i, t) in enumerate(TEXTS)]
     frame = spark.createDataFrame(rows, SCHEMA).repartition(3)

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from odd_rows import empty, odd, plain, words
+from odd_rows import confused, empty, odd, plain, words
 from pyspark.sql import functions as F
 
 from rebasket.llm import bottomk
@@ -84,3 +84,10 @@ def test_sketches_of_parts_merge(spark):
             total = merged(total, s)
         assert found[kind] == pack(total)
     assert plain(bottomk.merge_sketches(bottomk.sketch_texts(parts.filter(F.lit(False))), "kind")) == []
+
+
+def test_words_that_a_polynomial_hash_confuses_have_other_fingerprints():
+    a, b = confused()
+    for x, y in ((a, b), (f"p q {a} r s", f"p q {b} r s")):
+        one, other = sketch(x, y)
+        assert pack(one) != pack(other) and resemblance(one, other) == 0

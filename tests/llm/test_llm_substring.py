@@ -3,7 +3,7 @@ import random
 from collections import Counter
 
 import pytest
-from odd_rows import LONG, empty, odd, plain, words
+from odd_rows import LONG, confused, empty, odd, plain, words
 
 from rebasket.llm import substring
 from rebasket.llm.substring import WINDOW
@@ -69,3 +69,9 @@ def test_odd_rows_and_empty_tables(spark):
 def test_given_documents(spark, path):
     docs = spark.read.parquet(f"{path}/documents.parquet")
     assert plain(substring.remove_repeats(docs)) == by_hand([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_words_that_a_polynomial_hash_confuses_are_no_repeat(spark):
+    a, b = confused()
+    head, tail = words(31, 20), words(32, 14)
+    check(spark, [(1, f"{head} {a} {tail}"), (2, f"{head} {b} {tail}"), (3, f"{a} {b}"), (4, f"{head} {b} {tail} end")])

@@ -4,7 +4,8 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
-from rebasket.llm.text import Words, binary_column, inner_windows, slices, window_hashes
+from odd_rows import confused
+from rebasket.llm.text import Words, binary_column, equal_words, inner_windows, slices, small_batches, window_hashes
 
 TEXT = st.lists(st.one_of(st.none(), st.text(alphabet="ab é\t\n\x0b漢 ", max_size=30)), max_size=8)
 
@@ -42,3 +43,38 @@ def test_window_hashes_depend_on_content_only():
 def test_windows_stay_within_a_text():
     bounds = np.array([0, 3, 3, 4, 9])
     assert inner_windows(bounds, 3, 7).tolist() == [True, False, False, False, True, True, True]
+
+
+def test_hashes_tell_words_apart_that_a_polynomial_confuses():
+    pairs = [confused(n) for n in (8, 16, 64, 65, 1024, 4096)]
+    column = binary_column(pa.array([" ".join(p) for p in pairs], pa.string()))
+    found = Words(column)
+    for values in (found.hashes, found.second, found.hashed(2)):
+        assert len(set(values.tolist())) == 2 * len(pairs)
+    assert not (found.hashes == found.second).any()
+    size = found.ends - found.starts
+    even, odd = np.arange(0, len(size), 2), np.arange(1, len(size), 2)
+    assert not equal_words(found.lanes, found.starts[even], size[even], found.lanes, found.starts[odd], size[odd]).any()
+    assert equal_words(found.lanes, found.starts, size, found.lanes, found.starts, size).all()
+
+
+def test_windows_of_confusing_patterns_differ():
+    draw = np.random.default_rng(3)
+    x, y = draw.integers(0, 1 << 63, 2).astype(np.uint64)
+    for width in (32, 35, 1024, 2048):
+        bits = np.array([bin(i).count("1") & 1 for i in range(width)], bool)
+        assert window_hashes(np.where(bits, x, y), width)[0] != window_hashes(np.where(bits, y, x), width)[0]
+
+
+def test_batches_end_at_a_few_megabytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1234")
+        small_batches(spark)
+        assert spark.conf.get(key).rstrip("b") == "1234"
+        spark.conf.unset(key)
+        small_batches(spark)
+        assert int(spark.conf.get(key).rstrip("b")) == 4 << 20
+    finally:
+        spark.conf.set(key, before)

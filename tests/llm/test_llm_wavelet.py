@@ -3,11 +3,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings, strategies as st
-from odd_rows import empty, odd, plain
+from odd_rows import confused, empty, odd, plain
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rebasket.llm import wavelet
+from rebasket.llm.text import Words
 from rebasket.llm.wavelet import Encoder, Plane, WaveletMatrix, matrix_of
 from rebasket.session import fresh_path
 
@@ -45,7 +48,8 @@ def test_ids_are_the_librarys(texts):
 
 
 def expected(frame):
-    rows = sorted(((r.doc_id, r.text or "") for r in frame.collect()), key=lambda r: (-(1 << 63) if r[0] is None else r[0], r[1]))
+    rows = frame.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()
+    rows = [(r.doc_id, r.text or "") for r in sorted(rows, key=lambda r: (-(1 << 63) if r.doc_id is None else r.doc_id, r.h))]
     out, start = [], 0
     for doc, text in rows:
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 1], "<u4")
@@ -66,8 +70,35 @@ def test_given_documents_by_shards(spark, monkeypatch):
     out = fresh_path(spark, "tokens")
     wavelet.write_shards(docs, PATH, SIZE, out)
     assert plain(wavelet.read_documents(spark, out)) == expected(docs)
-    part = spark.read.parquet(out).filter("shard = 2 and part = 0").toPandas()
+    part = spark.read.parquet(out).filter("shard = 2 and part = 0").first().asDict()
     m = matrix_of(part)
     ids = m.decode()
-    assert m.access(5) == ids[5] and m.count(int(ids[5])) == int((ids == ids[5]).sum())
+    token = int(ids[5])
+    assert m.access(5) == token and m.count(token) == int((ids == token).sum())
     assert len(spark.read.parquet(out).inputFiles()) > 10
+    encoded = [(r.doc_id, library.encode(r.text or "", add_special_tokens=False).ids) for r in docs.collect()]
+    places = sorted((d, k) for d, own in encoded for k, x in enumerate(own) if x == token)
+    assert sorted((r.doc_id, r.place) for r in wavelet.occurrences(spark, out, token).collect()) == places
+    assert wavelet.occurrences(spark, out, SIZE - 1).collect() == []
+
+
+def test_words_that_a_polynomial_hash_confuses_keep_their_ids(spark):
+    a, b = confused()
+    rows = [(1, "x y " + a, "s"), (2, "x y " + b, "s"), (3, a, "s"), (3, b + " " + a, "s")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    assert plain(wavelet.token_files(frame, PATH, SIZE)) == expected(frame)
+
+
+def test_words_of_one_hash_are_told_apart_by_their_bytes(monkeypatch):
+    weak = Words.hashed
+    monkeypatch.setattr(Words, "hashed", lambda self, seed: weak(self, seed) >> np.uint64(63 if seed < 3 else 0))
+    model = Encoder(PATH)
+    for texts in (["one two three one"], ["four five six", "two " + "x" * 90 + " " + "x" * 89 + "y"], ["one six"] * 3):
+        found, ends = model.encode(pa.array([t.encode() for t in texts], pa.large_binary()), 1)
+        assert found.tolist() == [i for t in texts for i in [*library.encode(t, add_special_tokens=False).ids, 1]]
+    assert model.seed == 3
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        Encoder(public_tokenizers.path("byte_bpe_50k.json"))
