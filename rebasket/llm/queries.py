@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bottomk, cube, llr, neardup, pii, quality, substring, viterbi, warc, wavelet
+from . import bottomk, cube, licenses, llr, neardup, pii, quality, spelling, substring, viterbi, warc, wavelet
 
 WORD_BPE, WORD_BPE_SIZE = "word_bpe_49k.json", 49408
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -66,6 +66,14 @@ def op10_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "documents")
     return corpus_pipeline.run(spark, sf_dir)
@@ -83,5 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_debruijn": op8_debruijn,
         "op9_cube": op9_cube,
         "op10_semicrf": op10_semicrf,
+        "op12_spelling": op12_spelling,
+        "op13_licenses": op13_licenses,
         "pipeline": pipeline,
     }
