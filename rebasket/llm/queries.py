@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bottomk, cube, licenses, llr, neardup, pii, quality, spelling, substring, viterbi, warc, wavelet
+from . import bottomk, cube, licenses, llr, neardup, pii, prefix_trie, quality, spelling, substring, viterbi, warc, wavelet
 
 WORD_BPE, WORD_BPE_SIZE = "word_bpe_49k.json", 49408
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -66,6 +66,10 @@ def op10_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11_euler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
@@ -91,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_debruijn": op8_debruijn,
         "op9_cube": op9_cube,
         "op10_semicrf": op10_semicrf,
+        "op11_euler": op11_euler,
         "op12_spelling": op12_spelling,
         "op13_licenses": op13_licenses,
         "pipeline": pipeline,
