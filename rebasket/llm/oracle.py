@@ -64,5 +64,84 @@ from t left join kw using (doc_id)
 """
 
 
+# crc32 by its table: 256 entries, then one step per byte
+_CRC_TABLE = """
+    select list(list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1], lambda c, x: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) t
+    from range(256) r(i)
+"""
+
+
+def _crc32(text: str) -> str:
+    byte = f"cast('0x' || substr(hex(encode({text})), 2 * k - 1, 2) as bigint)"
+    return (
+        f"xor(list_reduce(list_concat([4294967295], list_transform(range(1, strlen({text}) + 1), lambda k: {byte})), "
+        "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+# nodes are the distinct lists of first turns; every node counts for all its prefixes
+OP11 = f"""
+with tab as ({_CRC_TABLE}), turns as (
+    select conv_id, turn, coalesce(role, '') r, coalesce(text, '') x from conversations where conv_id is not null
+), own as (
+    select conv_id, list({{'r': r, 'x': x}} order by turn nulls first, md5(length(r) || ':' || r || x)) ts from turns group by conv_id
+), h as (
+    select conv_id, ts, conv_id - conv_id % 20 base, {_crc32("cast(conv_id as varchar)")} % 4 h from own, tab
+), built as (
+    select a.conv_id, case when a.base = a.conv_id then a.ts else list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) end ts
+    from h a left join own b on b.conv_id = a.base
+), places as (
+    select conv_id, ts, unnest(range(0, len(ts) + 1)) d from built
+), nodes as (
+    select ts[1:d] k, d, min(conv_id) conv_id, count(*) n,
+        coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (len(ts) = d), '') ends
+    from places group by all
+), linked as (
+    select n.*, p.conv_id parent,
+        case when n.d = 0 then 0 else (n.n - 1) * len({_WORDS.format("n.k[n.d].x")}) end cost
+    from nodes n left join nodes p on p.d = n.d - 1 and p.k = n.k[1:n.d - 1]
+), c as (
+    select k[1:d - 1] k, count(*) children from nodes where d > 0 group by all
+), l as (
+    select linked.*, coalesce(children, 0) children from linked left join c on c.k = linked.k
+), below as (
+    select k[1:a] k, sum(cost) saved, sum(case when children = 0 then 1 else 0 end) leaves
+    from (select *, unnest(range(0, d + 1)) a from l) group by all
+)
+select conv_id, cast(d as bigint) "depth", parent parent_conv_id, n n_convs, children n_children, cast(leaves as bigint) n_leaves,
+    cast(saved as bigint) saved_tokens, sha256(ends) ends_sha256
+from l join below b on b.k = l.k
+"""
+
+# near words share a wildcard of one place, or one is the other without a character
+OP12 = f"""
+with recursive tab as ({_CRC_TABLE}), runs as (
+    select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) run from documents
+), counted as (
+    select coalesce(cast(doc_id as varchar), '') || ':' || run named, run, count(*) times from runs where length(run) >= 7 group by all
+), hashed as (
+    select run, times, {_crc32("named")} h from counted, tab
+), v as (
+    select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end word, sum(times) n
+    from hashed group by all
+), w as (
+    select word, cast(n as bigint) n, length(word) len from v where n >= 2 and length(word) >= 7
+), cut as (
+    select word, i, len, substr(word, 1, i - 1) a, substr(word, i + 1) b from (select *, unnest(range(1, len + 1)) i from w)
+), pairs as (
+    select x.word a, y.word b from cut x join cut y on x.len = y.len and x.i = y.i and x.a = y.a and x.b = y.b and x.word <> y.word
+    union select c.word, w.word from cut c join w on w.word = c.a || c.b
+    union select w.word, c.word from cut c join w on w.word = c.a || c.b
+), best as (
+    select a, count(*) n_near, max(n) top_n, arg_min(word, {{'m': -n, 'w': word}}) top from pairs join w on word = b group by a
+), f as (
+    select word, case when top_n >= 10 * n then top end form, n, coalesce(n_near, 0) n_near, case when top_n >= 10 * n then top_n end form_n
+    from w left join best on a = word
+), r(word, root, form) as (
+    select word, word, form from f union all select r.word, f.word, f.form from r join f on f.word = r.form
+)
+select f.word, f.form, root, n, n_near, form_n from f join r on r.word = f.word and r.form is null
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2, "op7_minhash": OP7, "op8_debruijn": OP8}
+    return {"op2_warc": OP2, "op7_minhash": OP7, "op8_debruijn": OP8, "op11_euler": OP11, "op12_spelling": OP12}
