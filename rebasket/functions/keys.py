@@ -21,3 +21,11 @@ def hash_bucket(keys: list[str], buckets: int = 100, seed: int | None = None) ->
 def user_bucket(buckets: int) -> Column:
     """Bucket of a user for tables stored by user; the same for every integer type."""
     return F.pmod(F.xxhash64(F.col("user_id").cast("bigint")), F.lit(buckets)).cast("int")
+
+
+def hash_number(keys: list[str], seed: int | None = None) -> Column:
+    """A number below 2**60 from the md5 of the keys, for an order that looks random and repeats."""
+    parts = [F.col(k).cast("string") for k in keys]
+    if seed is not None:
+        parts = [F.lit(str(seed)), *parts]
+    return F.conv(F.substring(F.md5(F.concat_ws("-", *parts)), 1, 15), 16, 10).cast("bigint")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rebasket.functions.keys import PAIR, hash_bucket
+from rebasket.functions.keys import PAIR, hash_bucket, hash_number
+from rebasket.operators.running import range_blocks, running_totals
+from rebasket.session import stored
 
 IDS = ["user_id", "product_id", "order_id", "eval_set"]
 LABEL = "reordered"
@@ -66,3 +68,81 @@ def sample(train: DataFrame, percent: int = 10, by: list[str] = PAIR, seed: int
 
 def random_sample(train: DataFrame, fraction: float = 0.1, seed: int = 1) -> DataFrame:
     return train.sample(fraction, seed)
+
+
+_LEVEL_BITS = 15
+
+
+def _cut(numbers: DataFrame, count: int, bits: int) -> tuple[int, int]:
+    """(cut, left): the ``count`` least numbers are those below the cut and ``left`` of those that equal it.
+
+    ``numbers`` has one column ``number`` of ``bits`` bits. Each level counts the rows
+    by the next fifteen bits of the numbers that share the bits found so far; its
+    32,768 counts at most come to the driver, whatever the rows.
+    """
+    found, left = 0, count
+    for shift in range(bits - _LEVEL_BITS, -1, -_LEVEL_BITS):
+        inside = numbers.where(F.shiftright("number", shift + _LEVEL_BITS) == found)
+        step = F.shiftright("number", shift).bitwiseAND(F.lit((1 << _LEVEL_BITS) - 1))
+        counts = inside.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+        at = 0
+        for r in sorted(counts, key=lambda r: r.step):
+            at = r.step
+            if r.n > left:
+                break
+            left -= r.n
+            at = r.step + 1
+        found = (found << _LEVEL_BITS) + at
+        if left == 0 or not counts or at > max(r.step for r in counts):
+            return found << shift, 0
+    return found, left
+
+
+def exact_split(rows: DataFrame, count: int, by: list[str] = PAIR, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(kept, rest): exactly ``count`` rows (all, if there are fewer), those of the least hash of the key.
+
+    Nothing is sorted: the cut is found from counts of the hash's leading bits.
+    Rows of one hash at the cut, mostly one, are told apart by a number each,
+    and cut the same way. ``rows`` is read several times: store it first.
+    """
+    numbered = rows.withColumn("_number", F.coalesce(hash_number(by, seed), F.lit(0)))
+    cut, left = _cut(numbered.select(F.col("_number").alias("number")), max(count, 0), 60)
+    below, above_ = numbered.where(F.col("_number") < cut), numbered.where(F.col("_number") > cut)
+    equal = numbered.where(F.col("_number") == cut)
+    if left == 0:
+        kept, rest = below, numbered.where(F.col("_number") >= cut)
+    else:
+        tied = stored(equal.withColumn("_row", F.monotonically_increasing_id()), "tied")
+        row, over = _cut(tied.select(F.col("_row").alias("number")), left, 60)
+        first = F.col("_row") <= row if over else F.col("_row") < row
+        kept = below.unionByName(tied.where(first).drop("_row"))
+        rest = above_.unionByName(tied.where(~first).drop("_row"))
+    return kept.drop("_number"), rest.drop("_number")
+
+
+def exact_sample(train: DataFrame, fraction: float = 0.1, by: list[str] = PAIR, seed: int = 1) -> DataFrame:
+    """Exactly that share of the rows, the count rounded half to even."""
+    train = stored(train, "sampled-from")
+    return exact_split(train, round(train.count() * fraction), by, seed)[0]
+
+
+def exact_holdout(train: DataFrame, count: int = 20_000, by: list[str] = PAIR,
+                  seed: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(fit rows, validation rows), exactly ``count`` of them for validation."""
+    held, kept = exact_split(stored(train, "held-from"), count, by, seed)
+    return kept, held
+
+
+def label_folds(train: DataFrame, folds: int = 3, label: str = LABEL, by: list[str] = PAIR, seed: int = 1,
+                per_block: int | None = None) -> DataFrame:
+    """The rows with ``fold`` 0..folds - 1: those of each label dealt in turn, by rank of the key's hash.
+
+    The folds' rows of a label differ by one at most; a missing label is a label like
+    any other. Ranks are running totals over blocks, so a label with most
+    of the rows is no single task's.
+    """
+    keyed = stored(train.withColumns({"_number": F.coalesce(hash_number(by, seed), F.lit(0)), "_one": F.lit(1)}), "dealt")
+    ranged = range_blocks(keyed, [label, "_number", *by], "dealt-blocks", per_block)
+    ranked = running_totals(ranged, [label], F.col("block"), ["_number", *by], ["_one"])
+    return ranked.withColumn("fold", (F.col("_one_before") % folds).cast("int")).drop(
+        "_number", "_one", "_one_before", "_one_total", "block")

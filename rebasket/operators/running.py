@@ -56,12 +56,14 @@ def running_totals(
     ).drop("_block", *[f"_of_{c}" for c in part], *[f"_{w}_{s}" for w in weights for s in ("earlier", "inside")])
 
 
-def range_blocks(rows: DataFrame, order: list[str], name: str, per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """The rows, stored, with ``block``: numbers that ascend along ``order``.
+def range_blocks(rows: DataFrame, order: list[str], name: str, per_block: int | None = None) -> DataFrame:
+    """The rows, stored by the caller, with ``block``: numbers that ascend along ``order``.
 
     Blocks are ranges of about ``per_block`` rows that Spark cuts at sampled
-    quantiles of the order columns, so their number follows the rows.
+    quantiles of the order columns, so their number follows the rows. Ranges
+    are stored, so that a row keeps its block; a single block is a constant.
     """
-    blocks = max(1, -(-rows.count() // per_block))
-    ranged = rows.repartitionByRange(blocks, *order) if blocks > 1 else rows.coalesce(1)
-    return stored(ranged.withColumn("block", F.spark_partition_id()), name)
+    blocks = max(1, -(-rows.count() // (per_block or ROWS_PER_BLOCK)))
+    if blocks == 1:
+        return rows.withColumn("block", F.lit(0))
+    return stored(rows.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id()), name)

@@ -146,6 +146,62 @@ keyed as (
          case when contains(body, ',') then try_cast(split_part(body, ',', 2) as bigint) end product_id
   from requests)"""
 
+# a user buys again what was bought twice: the planted label of the model jobs
+_PLANTED = "up_orders >= 2"
+
+
+def _answer(told: str) -> str:
+    return f"""case when {told} then 1 else 0 end decision,
+    case when {told} then 'Customer is likely to buy this product!' else 'Customer is unlikely to buy this product!' end verdict"""
+
+
+def _number(seed: str = "") -> str:
+    """The first 60 bits of the key's md5."""
+    return f"cast('0x' || substr(md5(concat({seed}user_id, '-', product_id)), 1, 15) as bigint)"
+
+
+# five margins, forwards and backwards, of two models in three folds
+_MARGIN_STEPS = ["up_orders * 1.0", "up_orders_since_last_order * -0.25", "user_orders * 0.125", "prod_orders * 0.0009765625", "up_first_order * -0.5"]
+_MARGINS = "margins as (" + " union all ".join(
+    f"select {row} as \"row\", {i + 1} as round, cast({' + '.join(steps[:i + 1])} as double) margin, reordered, "
+    "cast('0x' || substr(md5(concat(user_id, '-', product_id)), 1, 8) as bigint) % 3 own from train"
+    for row, steps in enumerate((_MARGIN_STEPS, _MARGIN_STEPS[::-1])) for i in range(5)) + ")"
+_ROUND_AUC = """sides as (
+  select "row", f.fold, round, own = f.fold test, margin, reordered from margins cross join (values (0), (1), (2)) f(fold)),
+ranked as (
+  select *, rank() over (partition by "row", fold, round, test order by margin)
+    + (count(*) over (partition by "row", fold, round, test, margin) - 1) / 2.0 r from sides),
+areas as (
+  select "row", fold, round, test, (sum(r) filter (where reordered = 1) - count_if(reordered = 1) * (count_if(reordered = 1) + 1) / 2.0)
+    / (cast(count_if(reordered = 1) as double) * count_if(reordered <> 1)) auc from ranked group by all),
+log as (
+  select cast("row" as int) "row", cast(fold as int) fold, cast(round as int) round, max(auc) filter (where test) test_auc,
+    max(auc) filter (where not test) train_auc from areas group by all)"""
+# the best of the first r rounds stands if no later round within two of a best one gained
+_BEST_ROUNDS = """means as (select "row", round, avg(test_auc) m from log group by all),
+bests as (
+  select a."row", a.round, a.m from means a
+  where not exists (select 1 from means b where b."row" = a."row" and b.round < a.round and b.m >= a.m)),
+gaps as (
+  select *, lead(round) over (partition by "row" order by round) next_round from bests),
+stops as (
+  select "row", min(round) best_round from gaps where next_round is null or next_round - round > 2 group by "row")"""
+
+_SEGMENTS = """segments as (
+  select pos, neg, p, p - pos_below - pos tp_a, n - neg_below - neg fp_a from steps)"""
+
+_DENSITY = f"""scores as (select reordered label, {_SCORE} s from train where {_SCORE} is not null and not isnan({_SCORE})),
+span as (select min(s) low, (max(s) - min(s)) / 511 step from scores),
+shape as (
+  select label, count(*) n, 0.9 * case when least(stddev_samp(s), (quantile_cont(s, 0.75) - quantile_cont(s, 0.25)) / 1.34) > 0
+      then least(stddev_samp(s), (quantile_cont(s, 0.75) - quantile_cont(s, 0.25)) / 1.34)
+      when stddev_samp(s) > 0 then stddev_samp(s) else 1.0 end * pow(count(*), -0.2) bw from scores group by label),
+binned as (
+  select label, round((s - low) / step) bin, count(*) here from scores, span group by all),
+dense as (
+  select b.label, g.point, sum(here * exp(-0.5 * pow((g.point - bin) * step / bw, 2)) / (sqrt(2 * pi()) * bw) / n) density
+  from binned b join shape h on b.label is not distinct from h.label, span, range(512) g(point) group by all)"""
+
 _BASE = [_PRODUCTS, _ORDERS, _LINES]
 _TO_PRIOR = [*_BASE, _PRIOR]
 _TO_JOINED = [*_TO_PRIOR, _FEATURES]
@@ -204,6 +260,18 @@ from i_orders o left join order_products op on o.order_id = op.order_id where o.
     seq = "select * replace (cast(product_seq_time as bigint) as product_seq_time) from seq"
     ties = [_ORDERS, _REPEATS, _FEATURES]
     train_columns = ", ".join(f"cast({c} as double) {c}" for c in FEATURES)
+    decided = _answer(_PLANTED)
+    told = f"select user_id, product_id, order_id, case when {_PLANTED} then 1 else 0 end rounded, {decided} from test"
+    asked = _sql(
+        [*_TO_MATRIX, _REQUESTS],
+        f"""select k.body, k.user_id, k.product_id, case when k.user_id is null or k.product_id is null then 'bad_request'
+       when m.user_id is null then 'unknown_key' else 'ok' end status,
+  case when {_PLANTED} then 1 else 0 end decision,
+  case when m.user_id is not null then case when {_PLANTED} then 'Customer is likely to buy this product!'
+       else 'Customer is unlikely to buy this product!' end end verdict
+from keyed k left join matrix m on k.user_id = m.user_id and k.product_id = m.product_id""")
+    grid = "(values (0, 0.1, 0.7), (1, 0.1, 0.5), (2, 0.05, 0.7), (3, 0.05, 0.5)) g(\"row\", eta, gamma)"
+    side = f"case when row_number() over (order by {_number()}, user_id, product_id) <= 1000 then 'held' else 'train' end"
     return {
         "profile_tables": _profile(),
         "csv_to_parquet": _sql([_ORDERS], "select * from i_orders"),
@@ -283,6 +351,61 @@ from (select reordered label, cast(case when s < 0 then 0 when s >= 1 then 19 el
             _TO_MATRIX, f"select m.user_id, m.product_id, {_DOUBLES} from matrix m"),
         "request_lookup": lookup,
         "request_lookup_stream": lookup,
+        "request_lookup_stored": lookup,
+        "request_lookup_joined": lookup,
+        "fit_and_score": _sql(_TO_LABELLED, told),
+        "fit_with_patience": _sql(
+            _TO_LABELLED, f"select user_id, product_id, order_id, case when {_PLANTED} then 1 else 0 end decision from test"),
+        "model_auc": _sql(
+            _TO_LABELLED,
+            f"""select side, count_if({_PLANTED}) positives, count_if(not {_PLANTED}) negatives, true good
+from (select up_orders, {side} side from train) group by side"""),
+        "tune_grid": f"""select cast("row" as int) "row", 100.0::double nrounds, 6.0::double max_depth, 0.95::double colsample_bytree,
+  0.75::double subsample, 10.0::double min_child_weight, 1.0::double scale_pos_weight, eta::double eta, gamma::double gamma, true good from {grid}""",
+        "tune_rounds": f"""select cast("row" as int) "row", cast(fold as int) fold, cast(round as int) round, true test_good, true train_good
+from {grid}, range(3) f(fold), range(1, 21) r(round)""",
+        "tune_random": 'select cast(r as int) "row", true in_ranges, true good from range(4) t(r)',
+        "tune_model_based": 'select cast(r as int) "row", true in_ranges, true round_kept, true good from range(4) t(r)',
+        "round_auc": _sql([*_TO_LABELLED, _MARGINS, _ROUND_AUC], "select * from log"),
+        "best_rounds": _sql(
+            [*_TO_LABELLED, _MARGINS, _ROUND_AUC, _BEST_ROUNDS],
+            """select m."row", min(m.m) least_auc, s.best_round, max(m.m) filter (where m.round = s.best_round) best_auc
+from means m join stops s on m."row" = s."row" group by all"""),
+        "sample_exact": _sql(
+            _TO_LABELLED,
+            f"""select * exclude (r, c) from (select *, row_number() over (order by {_number("'1-', ")}, user_id, product_id) r, count(*) over () c from train)
+where r <= round_even(c * 0.1, 0)"""),
+        "holdout_exact": _sql(
+            _TO_LABELLED, f"select *, row_number() over (order by {_number()}, user_id, product_id) <= 20000 held from train"),
+        "folds": _sql(
+            _TO_LABELLED,
+            f"""select *, cast((row_number() over (partition by reordered order by {_number("'1-', ")}, user_id, product_id) - 1) % 3 as int) fold
+from train"""),
+        "score_density": _sql(
+            [*_TO_LABELLED, _DENSITY],
+            """select label, cast(point as int) point, round(low + point * step, 6) score, round(density, 6) density from dense, span"""),
+        "pr_interpolated": _sql(
+            [*_TO_LABELLED, _STEPS, _SEGMENTS],
+            """select cast(k as int) point, k / 1000.0::double recall,
+  (k * p / 1000.0::double) / (k * p / 1000.0::double + fp_a + neg / pos::double * (k * p / 1000.0::double - tp_a)) as "precision"
+from segments join range(1, 1001) g(k) on tp_a * 1000 < k * p and k * p <= (tp_a + pos) * 1000
+union all
+select 0, 0.0, pos / (pos + neg)::double from segments where tp_a = 0 and fp_a = 0"""),
+        "pr_auc": _sql(
+            [*_TO_LABELLED, _STEPS, _SEGMENTS],
+            """select cast(max(p) as bigint) positives, cast(sum(neg) as bigint) negatives, sum(case when pos = 0 then 0
+  when fp_a * pos = neg * tp_a then pos / (1 + neg / pos::double)
+  else pos / (1 + neg / pos::double) - (fp_a - neg / pos::double * tp_a) / (1 + neg / pos::double) ** 2
+    * ln((tp_a + pos + fp_a + neg) / (tp_a + fp_a)::double) end) / max(p)::double pr_auc from segments"""),
+        "crawl_again": _sql(
+            [_ORDERS],
+            "select order_id, user_id, eval_set, order_number, case when eval_set <> 'prior' then days_since_prior_order end days_since_prior_order from i_orders"),
+        "score_requests": asked,
+        "score_vectors": _sql(
+            _TO_LABELLED + [f"packed as (select user_id, up_orders, {_PACKED} body from test)"],
+            f"""select body, 'ok' status, {decided} from packed
+union all select array_to_string(list_slice(string_split(body, ','), 1, 17), ','), 'bad_request', 0, null from packed where user_id % 3 = 0
+union all select 'many,' || array_to_string(list_slice(string_split(body, ','), 2, 18), ','), 'bad_request', 0, null from packed where user_id % 3 = 1"""),
         "refresh_on_arrival": _sql(_TO_JOINED, "select * from joined"),
         "refresh_redelivered": _sql(_TO_JOINED, "select * from joined"),
         "refresh_closed_orders": _sql(_TO_JOINED, "select * from joined"),

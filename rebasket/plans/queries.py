@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rebasket.functions.keys import PAIR, hash_bucket
 from rebasket.functions.packing import unpack
 from rebasket.functions.ratios import FEATURES
 from rebasket.operators import evaluate, features, labels, model, prior, submission, tuning
@@ -145,25 +146,124 @@ def tuning_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tuning.best(tuning_results(spark, sf_dir))
 
 
+# --- exact counts, folds, curves and densities --------------------------------
+
+# Margins SQL can compute as well: running sums of shares of features, exact in binary.
+STEPS = {"up_orders": 1.0, "up_orders_since_last_order": -0.25, "user_orders": 0.125, "prod_orders": 0.0009765625, "up_first_order": -0.5}
+LOG_FOLDS, LOG_PATIENCE = 3, 2
+
+
+def _exact_holdout(s: Shop) -> DataFrame:
+    """Which side every train row is on, 20,000 rows held out."""
+    kept, held = labels.exact_holdout(_train(s))
+    return kept.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
+
+
+def _margins(s: Shop) -> DataFrame:
+    """Train rows as if scored by two models of five rounds in three folds."""
+    train = stored(_train(s), "train").withColumn("own", hash_bucket(PAIR, LOG_FOLDS).cast("int"))
+    steps = [F.col(c).cast("double") * F.lit(w) for c, w in STEPS.items()]
+    sums = [[reduce(lambda x, y: x + y, some[:i + 1]) for i in range(len(some))] for some in (steps, steps[::-1])]
+    both = train.select("own", labels.LABEL, F.posexplode(F.array(*(F.array(*m) for m in sums))).alias("row", "margins"))
+    return both.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(LOG_FOLDS - 1)))).select(
+        "row", "fold", (F.col("own") == F.col("fold")).alias("test"), labels.LABEL, "margins")
+
+
+def round_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tuning.round_auc(_margins(shop(spark, sf_dir)))
+
+
+def best_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tuning.least_and_best(tuning.mean_log(round_auc(spark, sf_dir)), LOG_PATIENCE)
+
+
+def score_density(s: Shop) -> DataFrame:
+    found = evaluate.score_density(_train(s), SCORE, labels.LABEL)
+    return found.withColumns({"score": F.round("score", 6), "density": F.round("density", 6)})
+
+
+def crawl_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed in two steps and crawled after each: partitions and a column come later."""
+    orders = shop(spark, sf_dir).orders
+    base = fresh_path(spark, "lake")
+    database = base.rsplit("/", 1)[-1].replace("-", "_")
+    prior_orders = orders.where(F.col("eval_set") == "prior")
+    prior_orders.drop("days_since_prior_order").write.partitionBy("eval_set").parquet(f"{base}/orders")
+    catalog.crawl(spark, base, database)
+    orders.where(F.col("eval_set") != "prior").write.mode("append").partitionBy("eval_set").parquet(f"{base}/orders")
+    catalog.crawl(spark, base, database)
+    return spark.table(f"{database}.orders").select(
+        "order_id", "user_id", "eval_set", "order_number", "days_since_prior_order")
+
+
 # --- models ------------------------------------------------------------------
+#
+# The tables' own labels do not follow from the features, so these jobs run on a planted
+# label, which any sound model finds and SQL can state.
 
-def fit_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on the train rows with early stopping, score the test rows, decide."""
-    rows = stored(labelled_matrix(shop(spark, sf_dir)), "labelled")
+def _planted(s: Shop) -> tuple[DataFrame, DataFrame]:
+    """(train rows with the planted label, test rows)."""
+    rows = stored(labelled_matrix(s), "labelled")
     train, test = labels.split_train_test(rows)
+    return train.withColumn(labels.LABEL, (F.col("up_orders") >= 2).cast("int")), test
+
+
+def fit_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit all published rounds on the train rows, score the test rows, decide."""
+    train, test = _planted(shop(spark, sf_dir))
+    return submission.decide(model.score(model.fit(train, model.SIMPLE_FIT), test)).drop("prob")
+
+
+def model_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC of the model's own scores on the rows it was fitted on and on those held out."""
+    train, _ = _planted(shop(spark, sf_dir))
+    kept, held = labels.exact_holdout(train, 1000)
+    fitted = model.fit(kept, model.SIMPLE_FIT)
+    both = kept.withColumn("side", F.lit("train")).unionByName(held.withColumn("side", F.lit("held")))
+    measured = evaluate.roc_auc(model.score(fitted, both, ["side", labels.LABEL]), "prob", labels.LABEL, by=["side"])
+    return measured.select("side", "positives", "negatives", (F.col("auc") > 0.9).alias("good"))
+
+
+def fit_with_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model cut to its best round decides as the planted rule does."""
+    train, test = _planted(shop(spark, sf_dir))
     kept, held = labels.holdout(train)
-    fitted = model.fit(kept, model.SIMPLE_FIT, validation=held)
-    return submission.decide(model.score(fitted, test))
+    fitted = model.fit(kept, model.SIMPLE_FIT, validation=held, patience=5)
+    return submission.decide(model.score(fitted, test)).select("user_id", "product_id", "order_id", "decision")
+
+
+def _marked(results: DataFrame, metric: str, good) -> DataFrame:
+    return results.withColumn("good", good).drop(metric)
 
 
 def tune_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = stored(_train(shop(spark, sf_dir)), "train")
-    return tuning.tune_grid(train)[1]
+    train, _ = _planted(shop(spark, sf_dir))
+    return _marked(tuning.tune_grid(train)[1], "auc", F.col("auc") > 0.9)
+
+
+def tune_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the published grid over its first 20 rounds."""
+    train, _ = _planted(shop(spark, sf_dir))
+    log = tuning.tune_rounds(train, shared=tuning.GRID_SHARED | {"nrounds": 20})
+    return log.select("row", "fold", "round", (F.col("test_auc") > 0.9).alias("test_good"), (F.col("train_auc") > 0.9).alias("train_good"))
+
+
+def _in_ranges():
+    return reduce(lambda x, y: x & y, [F.col(n).between(low, high) for n, (low, high) in tuning.RANGES.items()])
 
 
 def tune_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept, held = labels.holdout(stored(_train(shop(spark, sf_dir)), "train"))
-    return tuning.tune_random(kept, held)[1]
+    kept, held = labels.holdout(_planted(shop(spark, sf_dir))[0])
+    results = tuning.tune_random(kept, held, shared=model.BASE_FIT | {"validation_tol": 0.0})[1]
+    return results.select("row", _in_ranges().alias("in_ranges"), (F.col("rmse") < 0.4).alias("good"))
+
+
+def tune_model_based(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trials of 30 rounds each."""
+    kept, held = labels.holdout(_planted(shop(spark, sf_dir))[0])
+    results = tuning.tune_model_based(kept, held, shared=model.BASE_FIT | {"nrounds": 30})[1]
+    return results.select(
+        "row", _in_ranges().alias("in_ranges"), F.col("best_round").between(1, 30).alias("round_kept"), (F.col("rmse") < 0.4).alias("good"))
 
 
 # --- requests and refresh ----------------------------------------------------
@@ -208,17 +308,50 @@ def request_lookup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unpacked(spark.read.parquet(f"{base}/out").drop("batch_id"))
 
 
+def request_lookup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lookups from the store written by user bucket."""
+    s = shop(spark, sf_dir)
+    store = files.write_feature_store(feature_matrix(s), fresh_path(spark, "store"))
+    return _unpacked(requests.lookup_stored(stored(request_bodies(s), "requests"), store))
+
+
+def request_lookup_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lookups as a stream joined with the store, in two runs of one checkpoint."""
+    s = shop(spark, sf_dir)
+    base = fresh_path(spark, "joined")
+    store = files.write_feature_store(feature_matrix(s), f"{base}/store")
+    bodies = stored(request_bodies(s), "requests")
+    for part in (0, 1):
+        bodies.where(F.pmod(F.xxhash64("body"), F.lit(2)) == part).write.mode("append").text(f"{base}/landing")
+        arriving = requests.request_stream(spark, f"{base}/landing", 4)
+        requests.lookup_joined(arriving, store, f"{base}/out", f"{base}/state").awaitTermination()
+    return _unpacked(spark.read.parquet(f"{base}/out"))
+
+
+def _planted_model(s: Shop):
+    return model.fit(_planted(s)[0], model.SIMPLE_FIT)
+
+
 def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, store the features, answer the requests as a stream."""
     s = shop(spark, sf_dir)
     base = fresh_path(spark, "answers")
-    rows = stored(labelled_matrix(s), "labelled")
-    fitted = model.fit(labels.split_train_test(rows)[0], model.SIMPLE_FIT)
+    fitted = _planted_model(s)
     store = files.write_feature_store(feature_matrix(s), f"{base}/store")
     request_bodies(s).write.text(f"{base}/landing")
     arriving = requests.request_stream(spark, f"{base}/landing", _third(spark.read.text(f"{base}/landing")))
     requests.score_stream(arriving, store, fitted, f"{base}/out", f"{base}/state").awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("batch_id")
+    return spark.read.parquet(f"{base}/out").drop("batch_id", "prob")
+
+
+def score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that carry the 18 values: those of all test rows, some cut short, some with a word."""
+    s = shop(spark, sf_dir)
+    packed = files.feature_store(stored(_test(s), "test")).select("user_id", F.col("feature").alias("body"))
+    short = packed.where(F.col("user_id") % 3 == 0).select(F.expr("substring_index(body, ',', 17)").alias("body"))
+    word = packed.where(F.col("user_id") % 3 == 1).select(F.concat(F.lit("many,"), F.expr("substring_index(body, ',', -17)")).alias("body"))
+    bodies = packed.select("body").unionAll(short).unionAll(word)
+    return requests.score_vectors(bodies, _planted_model(s)).drop("prob")
 
 
 def refresh_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,9 +451,25 @@ def queries() -> dict[str, Query]:
         "feature_store": feature_store,
         "feature_store_unpacked": feature_store_unpacked,
         "fit_and_score": fit_and_score,
+        "fit_with_patience": fit_with_patience,
+        "model_auc": model_auc,
         "tune_grid": tune_grid,
+        "tune_rounds": tune_rounds,
         "tune_random": tune_random,
+        "tune_model_based": tune_model_based,
+        "round_auc": round_auc,
+        "best_rounds": best_rounds,
+        "sample_exact": _on_shop(lambda s: labels.exact_sample(_train(s))),
+        "holdout_exact": _on_shop(_exact_holdout),
+        "folds": _on_shop(lambda s: labels.label_folds(_train(s))),
+        "score_density": _on_shop(score_density),
+        "pr_interpolated": _on_shop(lambda s: evaluate.pr_interpolated(_train(s), SCORE, labels.LABEL)),
+        "pr_auc": _on_shop(lambda s: evaluate.pr_auc(_train(s), SCORE, labels.LABEL)),
+        "crawl_again": crawl_again,
         "request_lookup": request_lookup,
+        "request_lookup_stored": request_lookup_stored,
+        "request_lookup_joined": request_lookup_joined,
+        "score_vectors": score_vectors,
         "request_lookup_stream": request_lookup_stream,
         "score_requests": score_requests,
         "refresh_on_arrival": refresh_on_arrival,

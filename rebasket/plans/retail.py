@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rebasket.operators.prior import order_products_prior
 from rebasket.operators.running import range_blocks, running_totals
-from rebasket.session import shared_dir
+from rebasket.session import shared_dir, stored
 from rebasket.sources.files import write_prior
 from rebasket.sources.schemas import ORDER_LINES, ORDER_PRODUCTS, ORDERS, PRODUCTS
 
@@ -37,7 +37,7 @@ class Shop:
 def derive_products(part: DataFrame) -> DataFrame:
     """Part names numbered in name order; aisle and department are their words."""
     names = part.select(F.col("p_name").alias("product_name")).distinct().withColumn("one", F.lit(1))
-    names = range_blocks(names, ["product_name"], "product-names")
+    names = range_blocks(stored(names, "product-names"), ["product_name"], "product-blocks")
     numbered = running_totals(names, [], F.col("block"), ["product_name"], ["one"])
     return numbered.select(
         (F.col("one_before") + 1).cast("bigint").alias("product_id"),
@@ -132,7 +132,7 @@ def shop(spark: SparkSession, sf_dir: str) -> Shop:
     digest = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
     base = f"{shared_dir(spark)}/shop-{spark.sparkContext.applicationId}-{digest}"
 
-    def stored(name: str) -> DataFrame:
+    def table(name: str) -> DataFrame:
         return spark.read.schema(STORED[name]).parquet(f"{base}/{name}")
 
     def raw(name: str) -> DataFrame:
@@ -144,15 +144,15 @@ def shop(spark: SparkSession, sf_dir: str) -> Shop:
             # The hint sizes the files: one per few tasks, not one per task and eval set.
             derive_orders(raw("orders")).hint("rebalance", "eval_set").write.mode(
                 "overwrite").partitionBy("eval_set").parquet(f"{base}/orders")
-            lines = derive_order_products(raw("lineitem"), raw("part"), stored("products"), stored("orders"))
+            lines = derive_order_products(raw("lineitem"), raw("part"), table("products"), table("orders"))
             lines.write.mode("overwrite").parquet(f"{base}/order_products")
-            write_prior(order_products_prior(stored("orders"), stored("order_products")),
+            write_prior(order_products_prior(table("orders"), table("order_products")),
                         f"{base}/order_products_prior")
             _written.add(base)
     columns = ["order_id", "user_id", "eval_set", "order_number", "days_since_prior_order"]
     return Shop(
-        products=stored("products"),
-        orders=stored("orders").select(*columns),
-        order_products=stored("order_products"),
-        order_products_prior=stored("order_products_prior"),
+        products=table("products"),
+        orders=table("orders").select(*columns),
+        order_products=table("order_products"),
+        order_products_prior=table("order_products_prior"),
     )

@@ -1,4 +1,4 @@
-"""Find the tables under a folder, register them and profile them."""
+"""Find the tables under a folder, register them as views or catalog tables, and profile them."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rebasket.session import shared_dir
+
 
 def discover(spark: SparkSession, root: str, suffix: str = "parquet") -> dict[str, str]:
     """Table name -> path of every file or folder of this format right under ``root``.
@@ -63,3 +65,63 @@ def profile(tables: dict[str, DataFrame]) -> DataFrame:
         ).select("table", "fact.column", "fact.type", "rows", "fact.nulls")
 
     return reduce(DataFrame.unionAll, [columns_of(n, t) for n, t in tables.items()])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _partition_columns(spark: SparkSession, path: str, columns: list[str]) -> list[str]:
+    """The columns that come from folder names: a read that ignores folders does not have them."""
+    inside = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path).columns
+    return [c for c in columns if c not in inside]
+
+
+def crawl(spark: SparkSession, root: str, database: str) -> dict[str, list[str]]:
+    """Make or renew an external catalog table for every Parquet file or folder right under ``root``.
+
+    Returns what changed, by table: 'created', 'partitions', 'column <name>', 'statistics'. A second
+    crawl takes up new tables, new partitions and new columns; rows of older
+    files are NULL there. Row counts and column statistics are computed
+    for tables whose files changed, so that the planner can use them. The data stays where
+    it is; whether tables outlive the session is up to its catalog.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)} LOCATION '{shared_dir(spark)}/{database}'")
+    changed: dict[str, list[str]] = {}
+    for name, path in discover(spark, root).items():
+        table = f"{_quoted(database)}.{_quoted(name)}"
+        found = spark.read.option("mergeSchema", "true").parquet(path)
+        by = _partition_columns(spark, path, found.columns)
+        notes = []
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in found.schema.fields)
+            cut = f" PARTITIONED BY ({', '.join(map(_quoted, by))})" if by else ""
+            spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{cut} LOCATION '{path}'")
+            notes.append("created")
+        else:
+            known = {c.lower() for c in spark.table(table).columns}
+            new = [f for f in found.schema.fields if f.name.lower() not in known]
+            if new:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'{_quoted(f.name)} {f.dataType.simpleString()}' for f in new)})")
+            notes += [f"column {f.name}" for f in new]
+        if by:
+            before = spark.sql(f"SHOW PARTITIONS {table}").count()
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+            if spark.sql(f"SHOW PARTITIONS {table}").count() > before:
+                notes.append("partitions")
+        spark.catalog.refreshTable(f"{database}.{name}")
+        bytes_now = _bytes(spark, path)
+        held = spark.sql(f"SHOW TBLPROPERTIES {table}").where("key = 'crawled.bytes'").first()
+        if notes or held is None or held["value"] != str(bytes_now):
+            spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('crawled.bytes' = '{bytes_now}')")
+            notes.append("statistics")
+        if notes:
+            changed[name] = notes
+    return changed
+
+
+def _bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files under a path, as Spark lists them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0

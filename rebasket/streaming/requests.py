@@ -18,6 +18,7 @@ from rebasket.functions.keys import PAIR, user_bucket
 from rebasket.functions.packing import request_key, unpack
 from rebasket.functions.ratios import FEATURES
 from rebasket.operators.model import probability
+from rebasket.session import stored
 from rebasket.sources.files import STORE_BUCKETS
 from rebasket.sources.schemas import REQUESTS
 
@@ -47,6 +48,24 @@ def lookup(requests: DataFrame, store: DataFrame) -> DataFrame:
     return _answer(keyed, found)
 
 
+def _found(wanted: DataFrame, store: DataFrame) -> DataFrame:
+    """The wanted keys' rows of a store by user bucket; ``wanted`` is stored and knows its buckets.
+
+    Stored keys have a known size, so they are broadcast when that allows and the
+    store is not shuffled; only their buckets are read.
+    """
+    # At most one small number per bucket comes to the driver.
+    touched = [r.user_bucket for r in wanted.select("user_bucket").distinct().collect()]
+    return store.where(F.col("user_bucket").isin(touched)).join(wanted.select(*PAIR), PAIR).select(*PAIR, "feature")
+
+
+def lookup_stored(requests: DataFrame, store: DataFrame, buckets: int = STORE_BUCKETS) -> DataFrame:
+    """The same answers from a store written by user bucket: only the requests' buckets are read."""
+    keyed = with_keys(requests)
+    wanted = stored(wanted_keys(keyed).withColumn("user_bucket", user_bucket(buckets)), "wanted")
+    return _answer(keyed, _found(wanted, store))
+
+
 def score_found(found: DataFrame, model: PipelineModel) -> DataFrame:
     """Probability per looked-up key."""
     return probability(model.transform(found.withColumns(unpack("feature", FEATURES)))).select(*PAIR, "prob")
@@ -110,11 +129,7 @@ def _stream(requests: DataFrame, store: DataFrame, out: str, checkpoint: str,
         marked = wanted_keys(keyed).withColumn("user_bucket", user_bucket(buckets))
         marked.write.mode("overwrite").parquet(path)
         wanted = batch.sparkSession.read.schema(f"{PAIR[0]} bigint, {PAIR[1]} bigint, user_bucket int").parquet(path)
-        # At most one small number per bucket comes to the driver.
-        touched = [r.user_bucket for r in wanted.select("user_bucket").distinct().collect()]
-        near = store.where(F.col("user_bucket").isin(touched))
-        found = near.join(wanted.select(*PAIR), PAIR).select(*PAIR, "feature")
-        finish(keyed, found).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finish(keyed, _found(wanted, store)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
@@ -140,3 +155,21 @@ def score_stream(requests: DataFrame, store: DataFrame, model: PipelineModel, ou
         return _decided(_answer(keyed, score_found(found, model)), threshold)
 
     return _stream(requests, store, out, checkpoint, finish, buckets, interval)
+
+
+def lookup_joined(requests: DataFrame, store: DataFrame, out: str, checkpoint: str,
+                  interval: str | None = None) -> StreamingQuery:
+    """Answer a request stream by a left join with the store inside the streaming plan.
+
+    Every micro-batch joins the store as it stands; answers are appended by the
+    file sink, which with the checkpoint writes each request's answer once, also after
+    a restart. Readers of ``out`` see finished batches only.
+    """
+    answered = _answer(with_keys(requests), store.select(*PAIR, "feature"))
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return (
+        answered.writeStream.format("parquet").outputMode("append")
+        .option("path", out).option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
