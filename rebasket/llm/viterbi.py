@@ -7,15 +7,15 @@ run through one boundary, the ids before it are final and are given out, so a
 text of any length needs the window and what has not converged yet.
 
 Where no piece of the vocabulary crosses a place, paths converge there at once.
-Such places (a space after another character, a line end) cut a text into units
-that are searched on their own, each distinct unit once while it is remembered.
+Such places (a space after another character, a line end) cut a text into units:
+the search goes through each distinct unit once while it is remembered, whatever its length.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,8 @@ _CACHE_UNITS = 500_000
 # within the search U+2581 is a space; a literal one is shown as a lone surrogate, which no text has
 _HIDE = {ord(" "): SPACE, ord(SPACE): "\ud800"}
 _SHOWN = {"\ud800": SPACE}
-_STEP = 64  # positions between two looks for convergence
+_STEP, _PART = 64, 1024  # positions to go on by at least, characters taken in at once at most
+_FAR = -1e300
 _models: dict[str, "Pieces"] = {}
 
 
@@ -59,7 +60,6 @@ class Pieces:
                 self.ids[piece], self.scores[piece] = i, model.get_score(i)
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
         self.longest = max(map(len, self.ids))
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
         self.tree: dict = {}  # by characters; under "" a piece's score and id
         for piece, i in self.ids.items():
             node = self.tree
@@ -72,97 +72,85 @@ class Pieces:
         self.units = re.compile(" *[^ \n]+|\n| +" if free and ends else "(?s:.+)")
         self.known: dict[str, bytes] = {}
 
-    def stream(self, characters: Iterator[str]) -> Iterator[list[int]]:
-        """Ids of a normalised text, given out as soon as they are final."""
-        text = ""  # the characters from ``base`` on
-        base = position = final = 0
-        score: dict[int, float] = {0: 0.0}
-        back: dict[int, tuple[int, str]] = {}
-        ended = False
-        characters = iter(characters)
+    def stream(self, parts: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of a normalised text, which comes in parts, given out as soon as they are final.
+
+        Held are the characters, scores and backpointers from the last boundary
+        given out: a part of at most ``_PART`` characters, and what has not met yet. Where
+        one position only is open, all paths meet; if none such was passed, the
+        paths to the open positions are followed back to where they meet.
+        """
+        tree, unknown, longest = self.tree, self.unknown, self.longest
+        text = rest = ""
+        ended, at, reach = False, 0, 0
+        best, back, ids = [0.0], [0], [-1]  # by position: the score, where the last piece began, its id
+        parts = iter(parts)
         while True:
-            while not ended and len(text) - (position - base) < self.longest:
-                more = next(characters, None)
+            while not ended and len(text) - at < longest + _STEP:
+                more = rest or next(parts, None)
                 if more is None:
                     ended = True
                 else:
-                    text += more
-            if ended and position - base == len(text):
-                break
-            here = score.pop(position)
-            first = position - base
-            for n in range(1, min(self.longest, len(text) - first) + 1):
-                piece = text[first:first + n]
-                if piece not in self.prefixes:
-                    break
-                gain = self.scores.get(piece)
-                if gain is not None and here + gain > score.get(position + n, -np.inf):
-                    score[position + n], back[position + n] = here + gain, (position, piece)
-            if here + self.unknown > score.get(position + 1, -np.inf):
-                score[position + 1], back[position + 1] = here + self.unknown, (position, text[first])
-            position += 1
-            if position % _STEP == 0:
-                meeting = self._meeting(set(score), back)
-                if meeting > final:
-                    yield self._path(back, final, meeting)
-                    for p in [p for p in back if p <= meeting]:
-                        del back[p]
-                    final = meeting
-                text, base = text[position - base:], position
-        if position > final:
-            yield self._path(back, final, position)
+                    text, rest = text + more[:_PART], more[_PART:]
+            n = len(text)
+            new = n + 1 - len(best)
+            best += [_FAR] * new
+            back += [0] * new
+            ids += [-1] * new
+            met = 0
+            for at in range(at, n if ended else n - longest + 1):
+                node, here = tree, best[at]
+                for end in range(at, n):
+                    node = node.get(text[end])
+                    if node is None:
+                        break
+                    found = node.get("")
+                    if found is not None and here + found[0] > best[end + 1]:
+                        best[end + 1], back[end + 1], ids[end + 1] = here + found[0], at, found[1]
+                        if end >= reach:
+                            reach = end + 1
+                if here + unknown > best[at + 1]:
+                    best[at + 1], back[at + 1], ids[at + 1] = here + unknown, at, -1
+                if reach <= at + 1:
+                    met = reach = at + 1
+            if ended:
+                if n:
+                    yield self._path(text, back, ids, n)
+                return
+            at += 1
+            met = met or self._meeting(at, best, back)
+            if met:
+                yield self._path(text, back, ids, met)
+                text, at, reach = text[met:], at - met, max(reach - met, 0)
+                best = [x - best[met] for x in best[met:]]
+                back = [max(x - met, 0) for x in back[met:]]
+                ids = ids[met:]
 
     @staticmethod
-    def _meeting(open_: set[int], back: dict[int, tuple[int, str]]) -> int:
+    def _meeting(at: int, best: list[float], back: list[int]) -> int:
         """The last boundary that the paths to all open positions share."""
+        open_ = {p for p in range(at, len(best)) if best[p] > _FAR}
         while len(open_) > 1:
             last = max(open_)
             open_.remove(last)
-            open_.add(back[last][0] if last in back else last)
+            open_.add(back[last])
         return open_.pop()
 
-    def _path(self, back: dict[int, tuple[int, str]], start: int, end: int) -> list[int]:
+    def _path(self, text: str, back: list[int], ids: list[int], end: int) -> list[int]:
         out: list[int] = []
-        while end > start:
-            end, piece = back[end]
-            found = self.ids.get(piece)
-            if found is None:
+        while end:
+            begin = back[end]
+            if ids[end] < 0:
+                piece = text[begin:end]
                 out += [self.byte_ids[b] for b in _SHOWN.get(piece, piece).encode(errors="surrogatepass")][::-1]
             else:
-                out.append(found)
-        return out[::-1]
-
-    def _short(self, text: str) -> list[int] | None:
-        """The same search for a unit within one step, without windows; None if it needs bytes."""
-        n = len(text)
-        best = [-np.inf] * (n + 1)
-        best[0] = 0.0
-        how = [(0, -1)] * (n + 1)
-        for i in range(n):
-            node, here = self.tree, best[i]
-            for j in range(i, n):
-                node = node.get(text[j])
-                if node is None:
-                    break
-                found = node.get("")
-                if found is not None and here + found[0] > best[j + 1]:
-                    best[j + 1], how[j + 1] = here + found[0], (i, found[1])
-            if best[i + 1] < here + self.unknown:
-                return None
-        out = []
-        while n:
-            n, i = how[n]
-            out.append(i)
+                out.append(ids[end])
+            end = begin
         return out[::-1]
 
     def search(self, unit: str) -> bytes:
         """Ids of a unit (with plain spaces) as little-endian 32-bit integers."""
-        if len(unit) <= _STEP and SPACE not in unit:
-            ids = self._short(unit.replace(" ", SPACE))
-            if ids is not None:
-                return np.array(ids, "<u4").tobytes()
-        ids = [i for some in self.stream(unit.translate(_HIDE)) for i in some]
-        return np.array(ids, "<u4").tobytes()
+        return np.array([i for some in self.stream((unit.translate(_HIDE),)) for i in some], "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text; a space is put before it, as the vocabulary expects. An empty text has none."""

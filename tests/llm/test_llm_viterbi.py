@@ -92,6 +92,7 @@ def test_stream_commits_before_the_end_and_equals_the_whole():
     parts = list(pieces.stream(iter(text)))
     assert len(parts) > 50 and max(map(len, parts)) < 100
     assert [i for p in parts for i in p] == ids_of(text.replace(SPACE, " ")[1:]).tolist()
+    assert [i for p in pieces.stream([text]) for i in p] == [i for p in parts for i in p] and len(list(pieces.stream([text]))) > 5
     for hard in ("a" * 3000, " " * 3000, "ab" * 2000, "漢" * 300):
         assert pieces.decode(ids_of(hard)) == hard
 
@@ -102,3 +103,16 @@ def test_odd_rows_and_empty_tables(spark):
     expected = sorted((repr(r.doc_id), zlib.crc32(pieces.encode(r.text or ""))) for r in odd(spark).collect())
     assert sorted((repr(r.doc_id), r.ids_crc32) for r in found) == expected
     assert plain(viterbi.encode_texts(empty(spark), PATH, ["doc_id"])) == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="theand ofiñ漢▁\n", max_size=200), max_size=6), st.sampled_from([(1, 1), (3, 5), (64, 1024)]))
+def test_ids_do_not_depend_on_the_parts(parts, sizes):
+    step, part = viterbi._STEP, viterbi._PART
+    whole = list(pieces.stream(["".join(parts).replace(" ", SPACE)]))
+    viterbi._STEP, viterbi._PART = sizes
+    try:
+        cut = list(pieces.stream(p.replace(" ", SPACE) for p in parts))
+    finally:
+        viterbi._STEP, viterbi._PART = step, part
+    assert [i for p in cut for i in p] == [i for p in whole for i in p]
