@@ -1,6 +1,9 @@
+import pytest
 from helpers import ORDER_SCHEMA, rows, same
 from pyspark.sql import functions as F
 
+from rebasket.functions.keys import hash_number
+from rebasket.operators import labels
 from rebasket.operators.labels import (
     candidate_orders,
     holdout,
@@ -67,3 +70,43 @@ def test_samples_keep_their_share(spark):
     assert 1700 < random_sample(wide).count() < 2300
     kept, rest = random_holdout(wide)
     assert kept.count() + rest.count() == 20000 and 15500 < kept.count() < 16500
+
+
+def keyed_rows(spark, keys):
+    return spark.createDataFrame([(u, p, i, i % 3) for i, (u, p) in enumerate(keys)], "user_id long, product_id long, i int, reordered int")
+
+
+@pytest.mark.parametrize("bits", [2, 15])
+def test_exact_split_takes_the_least_hashes(spark, monkeypatch, bits):
+    monkeypatch.setattr(labels, "_LEVEL_BITS", bits)
+    frame = keyed_rows(spark, [(u, p) for u in range(30) for p in range(20)]).repartition(4)
+    number = {(r.user_id, r.product_id): r.n for r in frame.select("user_id", "product_id", hash_number(labels.PAIR, 5).alias("n")).collect()}
+    order = sorted(number, key=number.get)
+    for count in (0, 1, 37, 599, 600, 9999):
+        kept, rest = labels.exact_split(frame, count, seed=5)
+        assert {(r.user_id, r.product_id) for r in kept.collect()} == set(order[:count])
+        assert kept.count() + rest.count() == 600 and kept.columns == frame.columns == rest.columns
+
+
+def test_exact_split_cuts_repeated_keys(spark):
+    frame = keyed_rows(spark, [(1, 1)] * 500 + [(2, p) for p in range(40)] + [(None, None)] * 30).repartition(7)
+    for count in (1, 100, 333, 531, 569):
+        kept, rest = labels.exact_split(frame, count)
+        assert (kept.count(), rest.count()) == (count, 570 - count)
+        assert kept.select("i").intersect(rest.select("i")).isEmpty()
+    assert labels.exact_sample(frame, 0.1).count() == 57
+    held = labels.exact_holdout(frame, 100)
+    assert [h.count() for h in held] == [470, 100]
+    assert labels.exact_sample(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("per_block", [None, 13])
+def test_folds_share_every_label_evenly(spark, per_block):
+    frame = keyed_rows(spark, [(u, p) for u in range(40) for p in range(7)])
+    frame = frame.withColumn("reordered", F.when(F.col("i") < 200, 0).when(F.col("i") < 279, 1))
+    dealt = labels.label_folds(frame, 3, per_block=per_block)
+    assert sorted(dealt.columns) == sorted([*frame.columns, "fold"]) and dealt.count() == 280
+    for label in (0, 1, None):
+        counts = [r["count"] for r in dealt.where(F.col("reordered").eqNullSafe(F.lit(label))).groupBy("fold").count().collect()]
+        assert max(counts) - min(counts) <= 1
+    same(dealt, labels.label_folds(frame.repartition(5), 3, per_block=7))

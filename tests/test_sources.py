@@ -111,3 +111,54 @@ def test_root_name_again_below_the_root(spark, tmp_path):
     root = tmp_path / "shopx"
     spark.range(3).write.parquet(str(root / "orders" / "shopx" / "part=1"))
     assert catalog.discover(spark, str(root)) == {"orders": f"{root}/orders"}
+
+
+def tables_of(spark, database):
+    return {r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()}
+
+
+def test_a_second_crawl_takes_up_what_is_new(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    first = spark.range(40).selectExpr("id AS a", "id % 2 AS part")
+    first.write.partitionBy("part").parquet(f"{root}/one")
+    assert catalog.crawl(spark, root, "crawled") == {"one": ["created", "partitions", "statistics"]}
+    assert catalog.crawl(spark, root, "crawled") == {}
+    more = spark.range(10).selectExpr("id AS a", "cast(id AS double) AS b", "7L AS part")
+    more.write.mode("append").partitionBy("part").parquet(f"{root}/one")
+    spark.range(3).write.parquet(f"{root}/two")
+    changed = catalog.crawl(spark, root, "crawled")
+    assert changed == {"one": ["column b", "partitions", "statistics"], "two": ["created", "statistics"]}
+    table = spark.table("crawled.one")
+    assert rows(table.where("part = 7").select("a", "b")) == sorted(((i, float(i)) for i in range(10)), key=repr)
+    assert table.where("b is null").count() == 40 and table.count() == 50
+    plan = table.where("part = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
+    facts = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED crawled.one").collect()}
+    assert "50 rows" in facts["Statistics"] and facts["Type"] == "EXTERNAL"
+    spark.sql("DROP TABLE crawled.one")
+    assert spark.read.parquet(f"{root}/one").count() == 50
+
+
+def test_statistics_change_a_join(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    spark.range(200_000).selectExpr("id AS k", "id % 1000 AS v", "uuid() AS pad").write.parquet(f"{root}/big")
+    spark.range(200_000).selectExpr("id AS k", "id AS w", "uuid() AS pad").write.parquet(f"{root}/other")
+    names = ("spark.sql.cbo.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+
+    def plan():
+        few = spark.table("measured.other").where("w < 100").select("k", "w")
+        joined = spark.table("measured.big").join(few, "k")
+        return joined._jdf.queryExecution().executedPlan().toString()
+
+    catalog.crawl(spark, root, "measured")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.cbo.enabled", "false")
+        assert "BroadcastHashJoin" not in plan()
+        spark.conf.set("spark.sql.cbo.enabled", "true")
+        assert "BroadcastHashJoin" in plan()
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)

@@ -14,6 +14,8 @@ from rebasket.streaming import refresh as refresh_module
 from rebasket.streaming.refresh import read_joined, refresh, refresh_on_arrival
 from rebasket.streaming.requests import (
     lookup,
+    lookup_joined,
+    lookup_stored,
     lookup_stream,
     request_stream,
     score_requests,
@@ -179,3 +181,38 @@ def test_unreadable_vectors_are_not_scored(spark, model):
     found = {r.body: (r.status, r.prob is None, r.verdict is None) for r in score_vectors(bodies, model).collect()}
     assert found.pop(whole) == ("ok", False, False)
     assert set(found.values()) == {("bad_request", True, True)} and len(found) == 5
+
+
+def test_stored_lookup_reads_wanted_buckets_and_leaves_the_store_in_place(spark, store):
+    known = store.where("user_bucket in (3, 9)").orderBy("user_id", "product_id").limit(20).collect()
+    assert len({r.user_bucket for r in known}) <= 2
+    bodies = [f"{r.user_id},{r.product_id}" for r in known] + ["abc,1", "7", ""]
+    requests = spark.createDataFrame([(b,) for b in bodies], "body string")
+    found = lookup_stored(requests, store)
+    same(found, lookup(requests, store))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "FileScan parquet" in line and "feature" in line)
+    assert "PartitionFilters: [" in scan and "user_bucket" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    read = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "user_bucket" in read
+    # the store's side of the join is no exchange
+    before = plan[:plan.index(scan)].split("\n")
+    depth = len(scan) - len(scan.lstrip(" :+-"))
+    above = [line for line in before if 0 < len(line) - len(line.lstrip(" :+-")) < depth]
+    assert "BroadcastHashJoin" in plan and not any("Exchange hashpartitioning" in line for line in above[-3:])
+
+
+def test_joined_stream_answers_once_across_a_restart(spark, tiny, store):
+    base = fresh_path(spark, "joined")
+    requests = request_bodies(tiny)
+    land(requests, f"{base}/landing", 4)
+    arriving = request_stream(spark, f"{base}/landing", files_per_batch=1)
+    lookup_joined(arriving, store, f"{base}/out", f"{base}/state").awaitTermination()
+    same(spark.read.parquet(f"{base}/out"), lookup(requests, store))
+    more = spark.createDataFrame([("999999,1",), ("x,y",)], "body string")
+    more.write.mode("append").text(f"{base}/landing")
+    again = request_stream(spark, f"{base}/landing", files_per_batch=1)
+    lookup_joined(again, store, f"{base}/out", f"{base}/state").awaitTermination()
+    same(spark.read.parquet(f"{base}/out"), lookup(requests.unionAll(more), store))
+    plan = arriving.isStreaming
+    assert plan
