@@ -96,12 +96,8 @@ class Encoder:
         plain = [p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode())) for p in pieces]
         texts = [" ".join(plain[a:a + 2000]) for a in range(0, len(plain), 2000)]
         ids = np.concatenate([np.array(e.ids, "<u4") for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)])
-        cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-        data = ids.tobytes()
-        first = 0
-        for piece, end in zip(pieces, cuts.tolist()):
-            self.pieces[piece] = data[first:end]
-            first = end
+        cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        self.pieces.update(zip(pieces, map(ids.tobytes().__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
 
     def _plain(self, words: bytes) -> np.ndarray:
         """Ids of space-joined plain words, with a gap after each word but the last."""
@@ -173,7 +169,7 @@ class Encoder:
         """
         size = words.ends - words.starts
         while True:
-            distinct, at, which = np.unique(words.hashed(self.seed), return_index=True, return_inverse=True)
+            distinct, at, which = _unique(words.hashed(self.seed))
             rep = at[which]
             same = equal_words(words.lanes, words.starts, size, words.lanes, words.starts[rep], size[rep]).all()
             if len(self.hashes) > _CACHE_WORDS or self.written > _CACHE_BYTES:
@@ -206,6 +202,17 @@ class Encoder:
         return out, ends
 
 
+def _unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, ascending, a place of each, and which one every value is; by one unstable sort."""
+    order = np.argsort(values)
+    ascending = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ascending[1:] != ascending[:-1]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ascending[new], order[new], which
+
+
 def _not_plain(joined: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Words with other characters than visible ASCII and the precomposed letters of Latin-1."""
     after = np.append(joined[1:], 32)
@@ -233,7 +240,9 @@ class Plane:
     def rows(flags: np.ndarray) -> tuple[bytes, bytes, int]:
         """Packed bits, ones before each block, zeros."""
         packed = np.packbits(flags, bitorder="little")
-        blocks = np.add.reduceat(flags, np.arange(0, len(flags), BLOCK), dtype=np.int64) if len(flags) else np.zeros(0, np.int64)
+        whole = np.zeros(-(-len(packed) * 8 // BLOCK) * (BLOCK // 8), np.uint8)
+        whole[:len(packed)] = packed
+        blocks = np.bitwise_count(whole.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.int64)
         before = np.concatenate([[0], np.cumsum(blocks)]).astype("<u4")
         return packed.tobytes(), before.tobytes(), int(len(flags) - before[-1])
 
@@ -273,9 +282,9 @@ class WaveletMatrix:
         ids = ids.astype(np.uint16 if planes <= 16 else np.uint32)
         out = []
         for b in range(planes - 1, -1, -1):
-            flags = (ids >> ids.dtype.type(b)) & ids.dtype.type(1) == 1
+            flags = (ids & ids.dtype.type(1 << b)) != 0
             out.append(Plane.rows(flags))
-            ids = np.concatenate([np.compress(~flags, ids), np.compress(flags, ids)])
+            ids = np.concatenate([ids[np.flatnonzero(~flags)], ids[np.flatnonzero(flags)]])
         return out
 
     def access(self, i: int) -> int:
@@ -318,8 +327,7 @@ class WaveletMatrix:
             flags = p.flags()
             out = np.empty_like(ids)
             out[np.flatnonzero(~flags)] = ids[:p.zeros]
-            out[np.flatnonzero(flags)] = ids[p.zeros:]
-            out |= flags.astype(kind) << kind(len(self.planes) - 1 - depth)
+            out[np.flatnonzero(flags)] = ids[p.zeros:] | kind(1 << len(self.planes) - 1 - depth)
             ids = out
         return ids
 
