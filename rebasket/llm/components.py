@@ -40,13 +40,11 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.filter(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = stored(edges, "edges")
-    state = None
-    while True:
+    state, going = None, not now.isEmpty()
+    while going:
         # a node above its own neighbours' least node changes some edge, so equal sums mean equal edges
         now = stored(_star(_star(now, large=True), large=False), "edges")
         found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(found) == state:
-            break
-        state = tuple(found)
+        state, going = tuple(found), tuple(found) != state
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

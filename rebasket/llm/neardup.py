@@ -289,15 +289,18 @@ def _links(texts: DataFrame, sound: DataFrame, classes: DataFrame, width: int, b
         .join(sets.select(F.col("doc_id").alias("ia"), F.col("shingles").alias("shingles_a")), F.col("a") == F.col("ia"))
         .join(sets.select(F.col("doc_id").alias("ib"), F.col("shingles").alias("shingles_b")), F.col("b") == F.col("ib"))
         .select("a", "b", "shingles_a", "shingles_b").mapInArrow(_verify(bands), "a long, b long"), "links")
-    gathered = components(stars)
     joined = components(near)
-    places = stored(
-        gathered.select(F.col("node").alias("doc_id"), F.col("component").alias("gathered"))
-        .join(joined.select(F.col("node").alias("c"), F.col("component").alias("joined")), F.col("doc_id") == F.col("c"), "left")
-        .select("doc_id", "gathered", F.coalesce("joined", "doc_id").alias("component")), "places")
-    # only groups of several components ask for more
-    open_ = places.groupBy(F.col("gathered").alias("g")).agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("g")
-    asking = places.join(open_, F.col("gathered") == F.col("g")).drop("g")
+    # buckets that hold several components ask for more: their components form groups
+    of = joined.select(F.col("node").alias("of"), F.col("component").alias("own"))
+    ends = (
+        stars.join(of, F.col("a") == F.col("of"), "left").select("b", F.coalesce("own", "a").alias("one"))
+        .join(of, F.col("b") == F.col("of"), "left").select("one", F.coalesce("own", "b").alias("other"))
+    )
+    gathered = components(ends.filter(F.col("one") != F.col("other")).select(F.col("one").alias("a"), F.col("other").alias("b")))
+    asking = (
+        asked.join(of, F.col("id") == F.col("of"), "left").select(F.col("id").alias("doc_id"), F.coalesce("own", "id").alias("component"))
+        .join(gathered.select("node", F.col("component").alias("gathered")), F.col("component") == F.col("node")).drop("node")
+    )
     grouped = (
         asking.join(signed.withColumnRenamed("doc_id", "ia"), F.col("doc_id") == F.col("ia")).drop("ia")
         .join(sets.withColumnRenamed("doc_id", "ib"), F.col("doc_id") == F.col("ib")).drop("ib")

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -85,3 +87,36 @@ def test_odd_rows_and_empty_tables(spark):
     assert len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
     assert plain(quality.classify(empty(spark), labels, Fit())) == []
     assert quality.good(odd(spark), labels_of(spark, [])).columns == odd(spark).columns
+
+
+def score_by_hand(net, text):
+    """The network over one text in plain loops."""
+    w = {k: v.astype(float).tolist() for k, v in net.w.items()}
+    filters, per = len(w["filters"][0]), len(w["bytes"][0])
+    cells = max(1, -(-(len(text) + 7) // 256))
+    padded = text + bytes(cells * 256 + 8 - len(text))
+    high = []
+    for cell in range(cells):
+        best = [-1e30] * filters
+        for at in range(cell * 256, cell * 256 + 256, 2):
+            if cell == cells - 1 and at >= cell * 256 + 250:
+                continue  # the filter would leave the text's cells
+            for f in range(filters):
+                total = sum(w["bytes"][padded[at + k]][e] * w["filters"][k * per + e][f] for k in range(8) for e in range(per))
+                best[f] = max(best[f], total)
+        high.append(best)
+    pairs = [(high[i], high[i + 1]) for i in range(cells - 1)] or [(high[0], high[0])]
+    chunks = [[max(0.0, max(a[f], b[f]) + w["shift"][f]) for f in range(filters)] for a, b in pairs]
+    both = [sum(c[f] for c in chunks) / len(chunks) for f in range(filters)] + [max(c[f] for c in chunks) for f in range(filters)]
+    hidden = [max(0.0, sum(x * w["dense"][i][h] for i, x in enumerate(both)) + w["dense_shift"][h]) for h in range(len(w["last"]))]
+    return 1 / (1 + math.exp(-(sum(x * y for x, y in zip(hidden, w["last"])) + w["last_shift"][0])))
+
+
+def test_scores_are_those_of_a_naive_convolution():
+    small = Fit(embedding=3, filters=4, hidden=5, rounds=2)
+    texts = [b"", b"a", b"word " * 50, bytes(range(256)) * 2, "ñ漢 x".encode() * 90, b"z" * 249, b"z" * 250, b"ab" * 700]
+    net = quality.fitted([b"good text here", b"#$% junk"] * 6, [1, 0] * 6, small)
+    found = quality.scores(net, pa.array(texts, pa.large_binary()))
+    assert len(set(np.round(found, 4))) > 3
+    for text, value in zip(texts, found):
+        assert value == pytest.approx(score_by_hand(net, text), abs=1e-4)
