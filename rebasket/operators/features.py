@@ -53,13 +53,15 @@ def product_seq_time(prior: DataFrame, orders_per_block: int = ORDERS_PER_BLOCK)
     of order numbers, and the rank is joined back to the lines; so no task holds
     all lines, or all orders, of a pair.
     """
-    # -1 stands for a missing order number, which sorts first.
-    lines = prior.withColumn("_order", F.coalesce("order_number", F.lit(-1)))
-    steps = lines.groupBy(*PAIR, "_order").agg(F.count(F.lit(1)).alias("n"))
-    block = F.floor(F.col("_order") / F.lit(orders_per_block))
-    steps = running_totals(steps, PAIR, block, ["_order"], ["n"]).select(
-        *[F.col(c).alias(f"_of_{c}") for c in [*PAIR, "_order"]], (F.col("n_before") + 1).alias("product_seq_time"))
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*PAIR, "_order"]])
+    # a missing order number sorts first, in a block of its own
+    known = F.col("order_number").isNotNull()
+    lines = prior.withColumns({"_known": known, "_order": F.coalesce("order_number", F.lit(0))})
+    step = ["_known", "_order"]
+    steps = lines.groupBy(*PAIR, *step).agg(F.count(F.lit(1)).alias("n"))
+    block = F.when(F.col("_known"), F.floor(F.col("_order") / F.lit(orders_per_block))).otherwise(F.lit(-(1 << 63)))
+    steps = running_totals(steps, PAIR, block, step, ["n"]).select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*PAIR, *step]], (F.col("n_before") + 1).alias("product_seq_time"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*PAIR, *step]])
     return lines.join(steps, same).select(*prior.columns, F.col("product_seq_time").cast("bigint"))
 
 

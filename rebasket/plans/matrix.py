@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 
 from rebasket.operators.features import (
@@ -23,9 +25,16 @@ def joined_features(s: Shop) -> DataFrame:
     return features_join(up, prd, user_features_1(s.orders), uf2)
 
 
+_kept: dict[str, DataFrame] = {}
+_keeping = threading.Lock()
+
+
 def _pairs(s: Shop) -> DataFrame:
-    """One stored row per user and product, which the line features read."""
-    return stored(pair_summary(stored(purchases(s.order_products_prior), "purchases")), "pairs")
+    """One stored row per user and product, which the line features read; once per application, as the shop tables."""
+    with _keeping:
+        if s.where not in _kept or not s.where:
+            _kept[s.where] = stored(pair_summary(stored(purchases(s.order_products_prior), "purchases")), "pairs")
+        return _kept[s.where]
 
 
 def feature_matrix(s: Shop) -> DataFrame:

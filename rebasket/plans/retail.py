@@ -26,6 +26,7 @@ class Shop:
     orders: DataFrame
     order_products: DataFrame
     order_products_prior: DataFrame
+    where: str = ""  # the folder that holds the tables, if they are stored once per application
 
     @property
     def order_products_train(self) -> DataFrame:
@@ -155,4 +156,5 @@ def shop(spark: SparkSession, sf_dir: str) -> Shop:
         orders=table("orders").select(*columns),
         order_products=table("order_products"),
         order_products_prior=table("order_products_prior"),
+        where=base,
     )

@@ -154,3 +154,11 @@ def test_the_lines_are_read_once(spark, tiny):
 
     plan = joined_features(tiny)._jdf.queryExecution().optimizedPlan().toString()
     assert "add_to_cart_order" not in plan and plan.count("order_products_prior") == 0
+
+
+def test_a_missing_order_number_comes_before_every_other(spark):
+    prior = prior_of(spark, [(1, 5, -1), (1, 5, None), (1, 5, -7), (1, 5, 0), (1, 5, None), (1, 5, -1)])
+    for block in (1, 2, 1000):
+        found = product_seq_time(prior, orders_per_block=block)
+        assert rows(found, "order_number", "product_seq_time") == sorted(
+            [(None, 1), (None, 1), (-7, 3), (-1, 4), (-1, 4), (0, 6)], key=repr)
