@@ -439,7 +439,8 @@ def find_pii(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
 def redact(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
     """The same rows and columns, with every span of ``text`` replaced by its kind in brackets.
 
-    ``n_chars``, if there, follows the text; a null text stays null.
+    ``n_chars``, if there, follows the text; a null text stays null. Null and repeated
+    ids are rows like any other, equal texts change alike, an empty table stays empty.
     """
     weights = train(docs) if weights is None else weights
     at = docs.columns.index("text")

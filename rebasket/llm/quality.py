@@ -265,7 +265,11 @@ def score(docs: DataFrame, net: Net, name: str = "quality_score") -> DataFrame:
 
 
 def good(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with their columns."""
+    """The rows of ``docs`` that the classifier does not reject, with their columns.
+
+    A null text is scored as an empty one, repeated rows are scored alike, a null id is a
+    row like any other, and an empty table gives an empty one.
+    """
     name = free_name(docs.columns, "quality_score")
     return score(docs, train(docs, labels, fit), name).filter(F.col(name) >= 0.5).drop(name)
 
