@@ -60,12 +60,15 @@ class Pieces:
                 self.ids[piece], self.scores[piece] = i, model.get_score(i)
                 self.bytes_of[i] = piece.replace(SPACE, " ").encode()
         self.longest = max(map(len, self.ids))
-        self.tree: dict = {}  # by characters; under "" a piece's score and id
-        for piece, i in self.ids.items():
+        # by characters: the pieces that go on, the score (below all others, if no piece ends here) and the id
+        self.tree: dict[str, tuple] = {}
+        for piece in sorted(self.ids, key=len):  # the beginnings of a piece come before it
             node = self.tree
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = (self.scores[piece], i)
+            for k, c in enumerate(piece, 1):
+                if c not in node or k == len(piece):
+                    ends = k == len(piece)
+                    node[c] = (node.get(c, ({},))[0], self.scores[piece] if ends else _FAR, self.ids[piece] if ends else -1)
+                node = node[c][0]
         self.unknown = min(self.scores.values()) - 10.0
         free = all(SPACE not in p.lstrip(SPACE) for p in self.ids)  # no piece has a space after another character
         ends = all("\n" not in p for p in self.ids)
@@ -99,16 +102,19 @@ class Pieces:
             ids += [-1] * new
             met = 0
             for at in range(at, n if ended else n - longest + 1):
-                node, here = tree, best[at]
-                for end in range(at, n):
-                    node = node.get(text[end])
-                    if node is None:
+                node, here, end = tree, best[at], at
+                for c in text[at:at + longest]:
+                    if c not in node:
                         break
-                    found = node.get("")
-                    if found is not None and here + found[0] > best[end + 1]:
-                        best[end + 1], back[end + 1], ids[end + 1] = here + found[0], at, found[1]
-                        if end >= reach:
-                            reach = end + 1
+                    node, gain, piece = node[c]
+                    end += 1
+                    gain += here
+                    if gain > best[end]:
+                        best[end] = gain
+                        back[end] = at
+                        ids[end] = piece
+                        if end > reach:
+                            reach = end
                 if here + unknown > best[at + 1]:
                     best[at + 1], back[at + 1], ids[at + 1] = here + unknown, at, -1
                 if reach <= at + 1:
